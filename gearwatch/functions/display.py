@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 TIME_TEXT = r"^([01][0-9]|2[0-3]):[0-5][0-9]"
 
 
+def fixed_decimals(value: Column, places: int) -> Column:
+    """Text with a fixed number of decimals, rounded from the exact binary value."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * places))
+
+
 def probability_text(value: Column) -> Column:
     """Percent text up to 1, plain two-decimal text above, "-" when there is no number."""
     return (F.when(value.isNull() | F.isnan(value), "-")
-            .when(value <= 1.0, F.format_string("%.2f%%", value * 100))
-            .otherwise(F.format_string("%.2f", value)))
+            .when(value <= 1.0, F.concat(fixed_decimals(value * 100, 2), F.lit("%")))
+            .otherwise(fixed_decimals(value, 2)))
 
 
 def level_title(level: Column) -> Column:
@@ -24,7 +29,7 @@ def thousands(count: Column) -> Column:
 
 
 def two_decimals(value: Column) -> Column:
-    return F.format_string("%.2f", value)
+    return fixed_decimals(value, 2)
 
 
 def export_name(at: Column, prefix: str = "predictions") -> Column:

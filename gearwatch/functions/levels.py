@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from gearwatch.functions.display import fixed_decimals
 from gearwatch.schema import Thresholds
 
 # Texts stored in the results.
@@ -42,8 +43,8 @@ def score_message(level: Column, engine: Column, cycle: Column, score: Column) -
 
 
 def probability_message(engine: Column, cycle: Column, probability: Column) -> Column:
-    return F.format_string("HIGH failure probability for engine %d at cycle %d: probability=%.4f",
-                           engine, cycle, probability)
+    return F.concat(F.lit("HIGH failure probability for engine "), engine.cast("string"), F.lit(" at cycle "),
+                    cycle.cast("string"), F.lit(": probability="), fixed_decimals(probability, 4))
 
 
 def failure_label(remaining: Column, within: int = FAILURE_CYCLES) -> Column:

@@ -19,13 +19,19 @@ def _text(path: str) -> str:
     return f"try_variant_get(_doc, '{path}', 'string')"
 
 
+def _computed_once(df: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:
+    """Add columns as a generated one-row array, so filters above do not copy their expressions down."""
+    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return df.selectExpr(*keep, f"inline(array(named_struct({fields})))")
+
+
 def _key_number(name: str) -> str:
     """Whole number of a key field: numbers are cut, digit texts read, true is 1, others null."""
-    kind, text = f"_{name}_kind", f"trim(_{name}_text)"
+    kind, text = f"_{name}_kind", f"_{name}_text"
     return (f"CASE WHEN {kind} = 'STRING' THEN "
             f"CASE WHEN {text} RLIKE '{INTEGER_TEXT}' THEN try_cast({text} AS INT) END "
             f"WHEN {kind} = 'BOOLEAN' THEN CAST({text} = 'true' AS INT) "
-            f"WHEN {kind} IN {_INT_TYPES} THEN try_cast(try_cast({text} AS DOUBLE) AS INT) END AS {name}")
+            f"WHEN {kind} IN {_INT_TYPES} THEN try_cast(try_cast({text} AS DOUBLE) AS INT) END")
 
 
 def _source_field(name: str) -> str:
@@ -42,25 +48,23 @@ def parse_messages(df: DataFrame, body: str = "body", default_source: str = "UNK
 
     Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor.
     """
-    keep = [c for c in df.columns if c != body]
-    docs = df.selectExpr(*keep, body, f"try_parse_json({body}) AS _doc")
-    fields = docs.selectExpr(
-        *keep, body, "_doc IS NULL AS _bad_json",
-        "schema_of_variant(_doc) LIKE 'OBJECT<%' AS _is_object",
-        f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, '{default_source}') AS {SOURCE}",
-        *[part for c in (ENGINE, CYCLE)
-          for part in (f"{_kind('$.' + c)} AS _{c}_kind", f"{_text('$.' + c)} AS _{c}_text")],
-        *[f"{_text('$.' + c)} AS _{c}" for c in READINGS])
-    typed = fields.selectExpr(
-        *keep, body, "_bad_json", "_is_object", SOURCE, _key_number(ENGINE), _key_number(CYCLE),
-        *[f"_{c}" for c in READINGS],
-        *[f"CASE WHEN trim(_{c}) RLIKE '{NUMBER_TEXT}' THEN try_cast(trim(_{c}) AS DOUBLE) END AS {c}"
-          for c in READINGS])
-    bad_sensor = " OR ".join(f"(_{c} IS NOT NULL AND {c} IS NULL)" for c in READINGS)
-    reason = (f"CASE WHEN _bad_json THEN 'bad_json' WHEN NOT coalesce(_is_object, false) THEN 'not_object' "
+    keep = df.columns
+    docs = df.selectExpr(*keep, f"try_parse_json({body}) AS _doc")
+    texts = _computed_once(docs, [*keep], {
+        "_is_json": "_doc IS NOT NULL",
+        "_is_object": "coalesce(schema_of_variant(_doc) LIKE 'OBJECT<%', false)",
+        SOURCE: f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, '{default_source}')",
+        **{f"_{c}_kind": _kind(f"$.{c}") for c in (ENGINE, CYCLE)},
+        **{f"_{c}_text": f"trim({_text('$.' + c)})" for c in [ENGINE, CYCLE, *READINGS]}})
+    typed = _computed_once(texts, [*keep, "_is_json", "_is_object", SOURCE], {
+        ENGINE: _key_number(ENGINE), CYCLE: _key_number(CYCLE),
+        **{c: f"CASE WHEN _{c}_text RLIKE '{NUMBER_TEXT}' THEN try_cast(_{c}_text AS DOUBLE) END" for c in READINGS},
+        "_given": " + ".join(f"CAST(_{c}_text IS NOT NULL AS INT)" for c in READINGS)})
+    read = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in READINGS)
+    reason = (f"CASE WHEN NOT _is_json THEN 'bad_json' WHEN NOT _is_object THEN 'not_object' "
               f"WHEN {ENGINE} IS NULL THEN 'bad_engine' WHEN {CYCLE} IS NULL THEN 'bad_cycle' "
-              f"WHEN {bad_sensor} THEN 'bad_sensor' END AS reject_reason")
-    return typed.selectExpr(*keep, body, SOURCE, ENGINE, CYCLE, *READINGS, reason)
+              f"WHEN _given != {read} THEN 'bad_sensor' END AS reject_reason")
+    return typed.selectExpr(*keep, SOURCE, ENGINE, CYCLE, *READINGS, reason)
 
 
 def accepted(parsed: DataFrame, body: str = "body") -> DataFrame:

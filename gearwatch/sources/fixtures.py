@@ -44,3 +44,18 @@ def dirty_text(readings: DataFrame) -> DataFrame:
         "CAST(raw_id AS STRING) AS raw_id", f"CASE WHEN {event} % 41 != 0 THEN {SOURCE} END AS {SOURCE}",
         f"CASE WHEN {event} % 37 != 0 THEN CAST({ENGINE} AS STRING) END AS {ENGINE}",
         f"concat(CAST({CYCLE} AS STRING), '.7') AS {CYCLE}", *spoiled, "inserted_at")
+
+
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """One JSON message per event, ``arrival_seq`` and ``body``; one in three is flawed on purpose."""
+    source = '"source_file":"\', event_type, \'"'
+    engine = '"engine_id":\', user_id, \''
+    cycle = '"time_in_cycles":\', event_id, \''
+    bodies = [
+        "not json \', event_id, \'", "[\', event_id, \']", f"{{{source},{cycle}}}", f'{{"engine_id":"x",{cycle}}}',
+        f"{{{source},{engine},{cycle}.7}}", f'{{"source_file":"","source":"B",{engine},{cycle}}}',
+        f'{{"engine_id":"\', user_id, \'",{cycle}}}', f'{{"engine_id":null,{cycle}}}', f'{{{engine},{cycle},"s2":"abc"}}']
+    kinds = " ".join(f"WHEN {i} THEN concat('{text}')" for i, text in enumerate(bodies))
+    other = f'{{{source},{engine},{cycle},"s2":\', event_id, \'.25}}'
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    return events.selectExpr("event_id AS arrival_seq", f"CASE event_id % 23 {kinds} ELSE concat('{other}') END AS body")
