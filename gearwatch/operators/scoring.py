@@ -51,7 +51,7 @@ def score_latest(clean: DataFrame, window: int = ROLLING_ROWS, cuts: Thresholds
     map task cuts its input to those before the one shuffle.
     """
     recent = last_rows(clean, window)
-    latest = latest_per_key(build_features(recent, window, hot_rows=None).drop("demo_rul"))
+    latest = latest_per_key(build_features(recent, window, rows=window).drop("demo_rul"))
     keep = [c for c in ("raw_id", "source_file", ENGINE, CYCLE) if c in latest.columns]
     return score_risk(latest, cuts, keep=keep)
 

@@ -30,8 +30,19 @@ def with_segments(df: DataFrame, keys: list[str], position: str, hot: DataFrame,
     return df.join(F.broadcast(hot), keys, "left").withColumn("_segment", segment.cast("long"))
 
 
-def numbered(df: DataFrame, keys: list[str], position: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """1-based row number per group in position order, without one task per hot group."""
+def may_be_hot(rows: int | None, hot_rows: int) -> bool:
+    """Whether a table of at most ``rows`` rows (None: unknown) can have a hot group at all."""
+    return rows is None or rows > hot_rows
+
+
+def numbered(df: DataFrame, keys: list[str], position: str, name: str, *, rows: int | None = None,
+             hot_rows: int = HOT_ROWS) -> DataFrame:
+    """1-based row number per group in position order, without one task per hot group.
+
+    ``rows`` is a known upper bound of the table's row count; a small table is numbered directly.
+    """
+    if not may_be_hot(rows, hot_rows):
+        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(position)))
     hot = hot_groups(df, keys, hot_rows)
     tagged = with_segments(df, keys, position, hot, hot_rows)
     cells = (tagged.filter(F.col("_rows").isNotNull())

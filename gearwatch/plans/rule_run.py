@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -59,17 +60,32 @@ def result_ids(df: DataFrame, base: int, first_raw_id: int) -> DataFrame:
 
 
 def write_results(store: Store, scored: DataFrame, alerts_of: Callable[[DataFrame], DataFrame], run_id: int,
-                  first_raw_id: int, model: str, now: datetime) -> tuple[DataFrame, DataFrame]:
-    """Write predictions of a run, then the alerts drawn from the written predictions."""
-    at = F.lit(now).cast("timestamp")
-    rows = result_ids(scored, store.next_id("predictions"), first_raw_id).select(
-        "*", F.lit(model).alias("model_version"), at.alias("prediction_time"), at.alias("created_at"),
+                  at: dict, first_raw_id: int, model: str, now: datetime) -> dict:
+    """Write predictions of a run, then the alerts drawn from the written predictions.
+
+    Returns their counts and the last ids given out.
+    """
+    time = F.lit(now).cast("timestamp")
+    rows = result_ids(scored, at["last_prediction_id"], first_raw_id).select(
+        "*", F.lit(model).alias("model_version"), time.alias("prediction_time"), time.alias("created_at"),
         F.col(CYCLE).alias("latest_cycle"))
     predictions = store.write("predictions", rows, run_id)
     opened = alerts_of(predictions.withColumnRenamed("latest_cycle", CYCLE))
-    rows = result_ids(opened, store.next_id("alerts"), first_raw_id).select(
-        "*", F.lit(model).alias("model_version"), at.alias("created_at"))
-    return predictions, store.write("alerts", rows, run_id)
+    rows = result_ids(opened, at["last_alert_id"], first_raw_id).select(
+        "*", F.lit(model).alias("model_version"), time.alias("created_at"))
+    alerts = store.write("alerts", rows, run_id)
+    found = written_counts(predictions=predictions, alerts=alerts)
+    return {"prediction_rows": found["predictions"][0], "alert_rows": found["alerts"][0],
+            "last_prediction_id": found["predictions"][1], "last_alert_id": found["alerts"][1]}
+
+
+def written_counts(**tables: DataFrame) -> dict[str, tuple[int, int | None]]:
+    """Row count and highest id of several written tables in one job."""
+    parts = []
+    for name, df in tables.items():
+        last = F.max("id") if "id" in df.columns else F.lit(None).cast("bigint")
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), last.alias("last_id")).select(F.lit(name).alias("name"), "rows", "last_id"))
+    return {r.name: (r.rows, r.last_id) for r in reduce(DataFrame.unionByName, parts).collect()}
 
 
 def late_rows(context: DataFrame, batch: DataFrame) -> DataFrame:
@@ -88,39 +104,41 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
     not move and the error is raised again. Without new rows the run succeeds and writes nothing.
     """
     now = now or utc_now()
-    before = store.checkpoint()["last_processed_raw_id"]
-    run = store.start_run(S.RULE_PIPELINE, run_type, now, before)
-    facts = {"raw_rows_used": 0}
+    at = store.position(S.RULE_PIPELINE)
+    before = at["checkpoint"]
+    run = store.start_run(S.RULE_PIPELINE, run_type, now, at, before)
+    run_id, facts = run["run_id"], {"raw_rows_used": 0}
     try:
         raw = store.raw()
         rows, low, high, last = batch_facts(new_rows(raw, before, up_to)).first()
         if not rows:
             notes = f"No new raw rows to process; checkpoint={before}; context_cycles={window_cycles}"
             store.finish_run(run, "SUCCESS", now, checkpoint_after=before, notes=notes)
-            return {"run_id": run["run_id"], "status": "SUCCESS", "raw_rows_used": 0, "processed_rows": 0,
+            return {"run_id": run_id, "status": "SUCCESS", "raw_rows_used": 0, "processed_rows": 0,
                     "prediction_rows": 0, "alert_rows": 0, "checkpoint_before": before, "checkpoint_after": before}
         facts = {"raw_rows_used": rows, "from_raw_id": low, "to_raw_id": high}
-        batch = new_rows(raw, before, high)
-        context = store.write("context", context_rows(raw, batch, before, window_cycles), run["run_id"])
-        frame = clean_telemetry(context.unionByName(batch), unique_ids=True)
-        features = only_new(build_features(frame, hot_rows=hot_rows), before)
-        processed = store.write("processed", features.withColumn("processed_at", F.lit(now).cast("timestamp")), run["run_id"])
-
-        columns = ["raw_id", SOURCE, ENGINE, CYCLE]
-        scored = score_risk(latest_per_key(processed), cuts, keep=columns)
-        predictions, alerts = write_results(
-            store, scored, lambda rows: score_alerts(rows, cuts), run["run_id"], low, model, now)
-        counts = {"processed_rows": processed.count(), "prediction_rows": predictions.count(), "alert_rows": alerts.count()}
-        context_count = context.count()
+        batch, context_count = new_rows(raw, before, high), 0
+        frame = batch
+        if before > 0 and window_cycles > 0:
+            context = store.write("context", context_rows(raw, batch, before, window_cycles), run_id)
+            context_count = context.count()
+            frame = context.unionByName(batch)
+        features = only_new(build_features(clean_telemetry(frame, unique_ids=True), rows=rows + context_count,
+                                           hot_rows=hot_rows), before)
+        processed = store.write("processed", features.withColumn("processed_at", F.lit(now).cast("timestamp")), run_id)
+        processed_count = processed.count()
+        scored = score_risk(latest_per_key(processed), cuts, keep=["raw_id", SOURCE, ENGINE, CYCLE])
+        results = write_results(store, scored, lambda df: score_alerts(df, cuts), run_id, at, low, model, now)
         notes = "; ".join([
-            f"processed_rows={counts['processed_rows']}", f"prediction_rows={counts['prediction_rows']}",
-            f"alerts={counts['alert_rows']}", f"new_raw_rows={rows}", f"context_rows={context_count}",
+            f"processed_rows={processed_count}", f"prediction_rows={results['prediction_rows']}",
+            f"alerts={results['alert_rows']}", f"new_raw_rows={rows}", f"context_rows={context_count}",
             f"from_raw_id={low}", f"to_raw_id={high}", f"checkpoint_before={before}", f"checkpoint_after={high}",
             f"context_cycles={window_cycles}"])
         if before_commit:
-            before_commit(run["run_id"])
-        store.finish_run(run, "SUCCESS", now, checkpoint_after=high, last_inserted_at=last, notes=notes, **facts)
-        return {"run_id": run["run_id"], "status": "SUCCESS", "raw_rows_used": rows, **counts, "from_raw_id": low,
+            before_commit(run_id)
+        store.finish_run(run, "SUCCESS", now, checkpoint_after=high, last_inserted_at=last, notes=notes, **facts, **results)
+        return {"run_id": run_id, "status": "SUCCESS", "raw_rows_used": rows, "processed_rows": processed_count,
+                "prediction_rows": results["prediction_rows"], "alert_rows": results["alert_rows"], "from_raw_id": low,
                 "to_raw_id": high, "checkpoint_before": before, "checkpoint_after": high, "context_rows": context_count}
     except Exception as error:
         store.finish_run(run, "FAILED", now, checkpoint_after=before, notes=str(error)[:2000], **facts)
@@ -130,8 +148,9 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
 def recompute_keys(store: Store, keys: DataFrame, *, hot_rows: int = HOT_ROWS, now: datetime | None = None) -> dict:
     """Rebuild the processed rows of some keys from all their readings, e.g. after late cycles."""
     now = now or utc_now()
-    before = store.checkpoint()["last_processed_raw_id"]
-    run = store.start_run(S.RULE_PIPELINE, "recompute", now, before)
+    at = store.position(S.RULE_PIPELINE)
+    before = at["checkpoint"]
+    run = store.start_run(S.RULE_PIPELINE, "recompute", now, at, before)
     wanted, _ = broadcast_if_small(keys.select(*KEY).distinct())
     rows = store.raw().filter(F.col("raw_id") <= before).join(wanted, KEY, "left_semi")
     features = build_features(clean_telemetry(rows, unique_ids=True), hot_rows=hot_rows)

@@ -11,6 +11,7 @@ import re
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gearwatch import schema as S
@@ -39,32 +40,33 @@ class Store:
     # -- layout -----------------------------------------------------------------------------
 
     def create(self) -> "Store":
-        """Write the empty first version of every table."""
-        for table, schema in _BY_RUN.items():
-            self._empty(schema).write.mode("ignore").parquet(f"{self.root}/{table}/run_id=0")
-        for table, schema in _BY_INGEST.items():
-            self._empty(schema).write.mode("ignore").parquet(f"{self.root}/{table}/ingest_id=none")
-        for log, schema in _LOGS.items():
-            self._empty(schema).write.mode("ignore").parquet(f"{self.root}/{log}")
+        """Write the empty ingest log, which streams follow; other tables start with their first write."""
+        self._nothing(S.INGESTS).write.mode("ignore").parquet(f"{self.root}/ingests")
         return self
 
-    def _empty(self, schema: T.StructType) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
+    def _nothing(self, schema: T.StructType) -> DataFrame:
+        columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+        return self.spark.range(0).selectExpr(*columns)
+
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self._nothing(schema)
 
     def _log(self, name: str) -> DataFrame:
-        return self.spark.read.schema(_LOGS[name]).parquet(f"{self.root}/{name}")
+        return self._read(name, _LOGS[name])
 
     def _append_log(self, name: str, row: dict) -> None:
-        schema = _LOGS[name]
-        values = tuple(row.get(f.name) for f in schema.fields)
-        self.spark.createDataFrame([values], schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+        columns = [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in _LOGS[name].fields]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self.root}/{name}")
 
     def _versions(self, table: str) -> DataFrame:
         if table in _BY_RUN:
-            schema = T.StructType(_BY_RUN[table].fields + [T.StructField("run_id", T.LongType())])
-        else:
-            schema = T.StructType(_BY_INGEST[table].fields + [T.StructField("ingest_id", T.StringType())])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+            return self._read(table, T.StructType(_BY_RUN[table].fields + [T.StructField("run_id", T.LongType())]))
+        return self._read(table, T.StructType(_BY_INGEST[table].fields + [T.StructField("ingest_id", T.StringType())]))
 
     # -- raw readings -----------------------------------------------------------------------
 
@@ -107,7 +109,9 @@ class Store:
         Rows with a ``reject_reason`` are quarantined. Raw ids follow arrival order and may
         have gaps. A committed ``ingest_id`` is not inserted again.
         """
-        known = self.ingests().filter(F.col("ingest_id") == ingest_id).first()
+        here = F.col("ingest_id") == ingest_id
+        base, known = self.ingests().agg(F.coalesce(F.max("to_raw_id"), F.lit(0)),
+                                         F.max(F.when(here, F.struct(*S.INGESTS.names)))).first()
         if known:
             return known.asDict()
         now = now or utc_now()
@@ -119,10 +123,11 @@ class Store:
         ok = F.col("reject_reason").isNull()
         consumed, skipped, first_seq = batch.agg(
             F.count_if(ok), F.count_if(~ok), F.min(F.when(ok, F.col("arrival_seq")))).first()
-        base = self.ingests().agg(F.coalesce(F.max("to_raw_id"), F.lit(0))).first()[0]
         valid = accepted(batch).select("arrival_seq", *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
-        firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq")]).persist(StorageLevel.MEMORY_AND_DISK)
-        new = self.absent(firsts)
+        firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq")])
+        if base:
+            firsts = firsts.persist(StorageLevel.MEMORY_AND_DISK)
+        new = self.absent(firsts) if base else firsts
         path = f"{self.root}/raw/ingest_id={ingest_id}"
         (new.withColumn("raw_id", F.col("arrival_seq") - F.lit(first_seq or 0) + F.lit(base + 1))
          .select(*S.RAW.names).sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path))
@@ -146,10 +151,21 @@ class Store:
         log = self._log("runs")
         return log.groupBy("run_id").agg(F.max_by(F.struct(*log.columns), "seq").alias("r")).select("r.*").drop("seq")
 
-    def start_run(self, pipeline: str, run_type: str, now: datetime, checkpoint_before: int | None = None) -> dict:
-        run_id = self._log("runs").agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0] + 1
-        run = {"run_id": run_id, "seq": 0, "pipeline_name": pipeline, "run_type": run_type, "scheduled_time": now,
-               "started_at": now, "status": "RUNNING", "raw_rows_used": 0, "checkpoint_before": checkpoint_before}
+    def position(self, pipeline: str) -> dict:
+        """Last run id, ids given out by committed runs and checkpoint of a pipeline, in one read of the log."""
+        done, zero = F.col("status") == "SUCCESS", F.lit(0)
+        mine = done & (F.col("pipeline_name") == pipeline) & F.col("to_raw_id").isNotNull()
+        return self._log("runs").agg(
+            F.coalesce(F.max("run_id"), zero).alias("last_run_id"),
+            F.coalesce(F.max(F.when(done, F.col("last_prediction_id"))), zero).alias("last_prediction_id"),
+            F.coalesce(F.max(F.when(done, F.col("last_alert_id"))), zero).alias("last_alert_id"),
+            F.coalesce(F.max(F.when(mine, F.col("checkpoint_after"))), zero).alias("checkpoint")).first().asDict()
+
+    def start_run(self, pipeline: str, run_type: str, now: datetime, at: dict, checkpoint_before: int | None = None) -> dict:
+        """Log a RUNNING row; ``at`` is the position the run starts from."""
+        run = {"run_id": at["last_run_id"] + 1, "seq": 0, "pipeline_name": pipeline, "run_type": run_type,
+               "scheduled_time": now, "started_at": now, "status": "RUNNING", "raw_rows_used": 0,
+               "checkpoint_before": checkpoint_before}
         self._append_log("runs", run)
         return run
 
@@ -223,10 +239,6 @@ class Store:
         last = self._log("runs").filter("status = 'SUCCESS'").agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]
         self._append_log("resolutions", {"alert_id": alert_id, "after_run_id": last, "resolved_at": now or utc_now()})
 
-    def next_id(self, table: str) -> int:
-        """Id before the first free one; ids of lost runs are not given out again."""
-        return self._versions(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-
     # -- schedule ---------------------------------------------------------------------------
 
     def schedule(self) -> DataFrame:

@@ -11,7 +11,7 @@ from gearwatch.schema import CYCLE, ENGINE, READINGS, SENSORS, SETTINGS, SOURCE
 def telemetry(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every event as one reading: event type as source, user as engine, n-th event as cycle."""
     events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
-    cycles = numbered(events, ["event_type", "user_id"], "event_id", CYCLE, hot_rows)
+    cycles = numbered(events, ["event_type", "user_id"], "event_id", CYCLE, rows=event_count(spark, folder), hot_rows=hot_rows)
     settings = [f"CAST((event_id * {j}) % 10 AS DOUBLE) / 10 AS op_setting_{j}" for j in range(1, len(SETTINGS) + 1)]
     sensors = [f"CASE WHEN event_id % 17 != {i % 17} THEN CAST(value AS DOUBLE) * {i} / 10 "
                f"+ ((event_id * {i + 3}) % 97) END AS s{i}" for i in range(1, len(SENSORS) + 1)]
@@ -20,9 +20,14 @@ def telemetry(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> Dat
         f"CAST({CYCLE} AS INT) AS {CYCLE}", *settings, *sensors, "ts AS inserted_at")
 
 
+def event_count(spark: SparkSession, folder: str) -> int:
+    """Rows of the events table, from the file footers; there is one reading per event."""
+    return spark.read.parquet(f"{folder}/events.parquet").count()
+
+
 def batch_bounds(spark: SparkSession, folder: str) -> tuple[int, int, int]:
     """Last raw id of the 40 %, 70 % and 100 % batches; raw ids are 1..n here."""
-    total = spark.read.parquet(f"{folder}/events.parquet").count()
+    total = event_count(spark, folder)
     return total * 4 // 10, total * 7 // 10, total
 
 

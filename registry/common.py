@@ -11,7 +11,7 @@ from gearwatch.operators.features import build_features
 from gearwatch.plans.rule_run import run_rule_scoring
 from gearwatch.plans.store import Store
 from gearwatch.session import scratch_folder
-from gearwatch.sources.fixtures import batch_bounds, telemetry
+from gearwatch.sources.fixtures import batch_bounds, event_count, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +50,7 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
-    return build_features(clean(spark, folder))
+    return build_features(clean(spark, folder), rows=event_count(spark, folder))
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:

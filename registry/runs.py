@@ -158,11 +158,12 @@ def _recomputed(spark, folder) -> Store:
 
 
 def _model_results(store: Store, rows: DataFrame, value, at: dt.datetime) -> None:
-    run = store.start_run("trained_model", "check", at)
+    position = store.position("trained_model")
+    run = store.start_run("trained_model", "check", at, position)
     top = rows.agg(F.max("value").alias("v")).scalar()
     scored = apply_probability(rows, clip(value / top, 0.0, 1.0))
-    write_results(store, scored, probability_alerts, run["run_id"], 1, "m1", at)
-    store.finish_run(run, "SUCCESS", at)
+    written = write_results(store, scored, probability_alerts, run["run_id"], position, 1, "m1", at)
+    store.finish_run(run, "SUCCESS", at, **written)
 
 
 @_once
