@@ -4,67 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gearwatch.functions.numbers import INTEGER_TEXT, NUMBER_TEXT
+from gearwatch.functions.numbers import INTEGER_TEXT, doubles_sql
 from gearwatch.schema import CYCLE, ENGINE, NATURAL_KEY, READINGS, SOURCE, TEXT_COLUMNS
 
-_INT_TYPES = "('BIGINT', 'DECIMAL', 'DOUBLE', 'FLOAT')"
+_TEXTS = ", ".join(f"{c} STRING" for c in [SOURCE, "source", *TEXT_COLUMNS])
+_NUMBERS = ", ".join(f"{c} DOUBLE" for c in [SOURCE, "source", ENGINE, CYCLE])
 
 
-def _kind(path: str) -> str:
-    """Variant type name without precision, e.g. DECIMAL of DECIMAL(3,1)."""
-    return f"regexp_extract(schema_of_variant(try_variant_get(_doc, '{path}', 'variant')), '^([A-Z]+)', 1)"
-
-
-def _text(path: str) -> str:
-    return f"try_variant_get(_doc, '{path}', 'string')"
-
-
-def _computed_once(df: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:
-    """Add columns as a generated one-row array, so filters above do not copy their expressions down."""
-    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
-    return df.selectExpr(*keep, f"inline(array(named_struct({fields})))")
+def _json(name: str) -> str:
+    """JSON text of a field, to tell the text "true" from the value true."""
+    return f"to_json(try_variant_get(_doc, '$.{name}', 'variant'))"
 
 
 def _key_number(name: str) -> str:
     """Whole number of a key field: numbers are cut, digit texts read, true is 1, others null."""
-    kind, text = f"_{name}_kind", f"_{name}_text"
-    return (f"CASE WHEN {kind} = 'STRING' THEN "
-            f"CASE WHEN {text} RLIKE '{INTEGER_TEXT}' THEN try_cast({text} AS INT) END "
-            f"WHEN {kind} = 'BOOLEAN' THEN CAST({text} = 'true' AS INT) "
-            f"WHEN {kind} IN {_INT_TYPES} THEN try_cast(try_cast({text} AS DOUBLE) AS INT) END")
+    text = f"trim(_text.{name})"
+    return (f"CASE WHEN _number.{name} IS NOT NULL THEN try_cast(_number.{name} AS INT) "
+            f"WHEN {text} RLIKE '{INTEGER_TEXT}' THEN try_cast({text} AS INT) "
+            f"WHEN {text} IN ('true', 'false') THEN CASE {_json(name)} WHEN 'true' THEN 1 WHEN 'false' THEN 0 END END")
 
 
 def _source_field(name: str) -> str:
     """Text of a source field; empty, zero, false and empty containers count as missing."""
-    text = _text(f"$.{name}")
-    kind = _kind(f"$.{name}")
-    return (f"CASE WHEN {kind} = 'BOOLEAN' AND {text} = 'true' THEN 'True' "
-            f"WHEN {kind} = 'BOOLEAN' OR {text} IN ('', '[]', '{{}}') THEN NULL "
-            f"WHEN {kind} IN {_INT_TYPES} AND try_cast({text} AS DOUBLE) = 0 THEN NULL ELSE {text} END")
+    text = f"_text.{name}"
+    return (f"CASE WHEN {text} = '' OR _number.{name} = 0 THEN NULL "
+            f"WHEN {text} IN ('true', 'false', '[]', '{{}}') THEN CASE {_json(name)} WHEN 'true' THEN 'True' "
+            f"WHEN 'false' THEN NULL WHEN '[]' THEN NULL WHEN '{{}}' THEN NULL ELSE {text} END ELSE {text} END")
+
+
+def _computed_once(df: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:
+    """Add columns as a generated one-row array, so filters above do not copy their expressions down."""
+    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return df.selectExpr(*keep, f"inline(array(named_struct({fields})))")
 
 
 def parse_messages(df: DataFrame, body: str = "body", default_source: str = "UNKNOWN") -> DataFrame:
     """Typed reading and ``reject_reason`` per message; other columns are kept.
 
-    Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor.
+    Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor. The
+    texts of all fields come from one JSON pass; a strict parse decides whether a message is JSON.
     """
     keep = df.columns
-    docs = df.selectExpr(*keep, f"try_parse_json({body}) AS _doc")
-    texts = _computed_once(docs, [*keep], {
-        "_is_json": "_doc IS NOT NULL",
-        "_is_object": "coalesce(schema_of_variant(_doc) LIKE 'OBJECT<%', false)",
+    docs = df.selectExpr(*keep, f"try_parse_json({body}) AS _doc", f"from_json({body}, '{_TEXTS}') AS _text",
+                         f"from_json({body}, '{_NUMBERS}') AS _number")
+    typed = _computed_once(docs, keep, {
+        "_is_json": "_doc IS NOT NULL", "_is_object": f"trim('\\t\\n\\r ' FROM {body}) LIKE '{{%'",
         SOURCE: f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, '{default_source}')",
-        **{f"_{c}_kind": _kind(f"$.{c}") for c in (ENGINE, CYCLE)},
-        **{f"_{c}_text": f"trim({_text('$.' + c)})" for c in [ENGINE, CYCLE, *READINGS]}})
-    typed = _computed_once(texts, [*keep, "_is_json", "_is_object", SOURCE], {
         ENGINE: _key_number(ENGINE), CYCLE: _key_number(CYCLE),
-        **{c: f"CASE WHEN _{c}_text RLIKE '{NUMBER_TEXT}' THEN try_cast(_{c}_text AS DOUBLE) END" for c in READINGS},
-        "_given": " + ".join(f"CAST(_{c}_text IS NOT NULL AS INT)" for c in READINGS)})
-    read = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in READINGS)
+        "_texts": f"array({', '.join(f'_text.{c}' for c in READINGS)})",
+        "_values": doubles_sql([f"_text.{c}" for c in READINGS])})
     reason = (f"CASE WHEN NOT _is_json THEN 'bad_json' WHEN NOT _is_object THEN 'not_object' "
               f"WHEN {ENGINE} IS NULL THEN 'bad_engine' WHEN {CYCLE} IS NULL THEN 'bad_cycle' "
-              f"WHEN _given != {read} THEN 'bad_sensor' END AS reject_reason")
-    return typed.selectExpr(*keep, SOURCE, ENGINE, CYCLE, *READINGS, reason)
+              "WHEN exists(arrays_zip(_texts, _values), r -> r._texts IS NOT NULL AND r._values IS NULL) THEN 'bad_sensor' "
+              "END AS reject_reason")
+    values = [f"_values[{i}] AS {c}" for i, c in enumerate(READINGS)]
+    return typed.selectExpr(*keep, SOURCE, ENGINE, CYCLE, *values, reason)
 
 
 def accepted(parsed: DataFrame, body: str = "body") -> DataFrame:

@@ -20,17 +20,29 @@ def finite_sql(value: str) -> str:
 
 
 def double_sql(name: str, dtype: T.DataType | None) -> str:
-    """Number of a text or numeric column; anything else is null."""
+    """Number of a text or numeric column; anything else is null.
+
+    A text beyond the double range gives an infinity, which callers drop in a second step.
+    """
     if dtype is None or isinstance(dtype, T.NullType):
         return "CAST(NULL AS DOUBLE)"
     if isinstance(dtype, T.StringType):
-        guarded = f"CASE WHEN trim({name}) RLIKE '{NUMBER_TEXT}' THEN try_cast(trim({name}) AS DOUBLE) END"
-        return finite_sql(f"({guarded})")
+        return f"CASE WHEN trim({name}) RLIKE '{NUMBER_TEXT}' THEN try_cast(trim({name}) AS DOUBLE) END"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return finite_sql(f"CAST({name} AS DOUBLE)")
     return f"CAST({name} AS DOUBLE)"
 
 
+def doubles_sql(texts: list[str]) -> str:
+    """Array of the numbers of many text columns.
+
+    One small function applied to an array keeps the generated code short; a separate pattern
+    match per column would outgrow what the JVM compiles.
+    """
+    return (f"transform(array({', '.join(texts)}), t -> CASE WHEN trim(t) RLIKE '{NUMBER_TEXT}' "
+            f"THEN try_cast(trim(t) AS DOUBLE) END)")
+
+
 def whole_sql(name: str, dtype: T.DataType | None, target: str) -> str:
     """Whole number, cut toward zero; out-of-range and non-numeric values are null."""
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from gearwatch.functions.numbers import double_sql, whole_sql
+from gearwatch.functions.numbers import double_sql, doubles_sql, finite_sql, whole_sql
 from gearwatch.schema import CYCLE, ENGINE, NATURAL_KEY, READINGS, SOURCE
 
 
@@ -21,8 +21,14 @@ def conform(df: DataFrame, default_source: str = "UNKNOWN") -> DataFrame:
     columns += [c for c in ("inserted_at", "arrival_seq") if c in types]
     columns.append(f"coalesce(CAST({SOURCE if SOURCE in types else 'NULL'} AS STRING), '{default}') AS {SOURCE}")
     columns += [f"{whole_sql(c, types.get(c), 'INT')} AS {c}" for c in (ENGINE, CYCLE)]
-    columns += [f"coalesce({double_sql(c, types.get(c))}, 0.0D) AS {c}" for c in READINGS]
-    return df.selectExpr(*columns)
+    texts = [c for c in READINGS if isinstance(types.get(c), T.StringType)]
+    columns += [f"coalesce({double_sql(c, types.get(c))}, 0.0D) AS {c}" for c in READINGS if c not in texts]
+    if not texts:
+        return df.selectExpr(*columns)
+    rows = df.selectExpr(*columns, f"{doubles_sql(texts)} AS _values")
+    values = {c: f"coalesce({finite_sql(f'_values[{i}]')}, 0.0D) AS {c}" for i, c in enumerate(texts)}
+    keys = [c for c in rows.columns if c != "_values" and c not in READINGS]
+    return rows.selectExpr(*keys, *[values.get(c, c) for c in READINGS])
 
 
 def drop_unkeyed(df: DataFrame) -> DataFrame:
