@@ -69,11 +69,13 @@ def rejected(parsed: DataFrame, body: str = "body") -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull()).select("arrival_seq", body, "reject_reason")
 
 
-def encode_messages(df: DataFrame, dataset: str | None = None) -> DataFrame:
+def encode_messages(df: DataFrame, dataset: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Message key ``source:engine:cycle`` and JSON body; NaN and null are written as null.
 
-    ``dataset`` names the source of every row; without it ``source_file`` is used.
+    ``dataset`` names the source of every row; without it ``source_file`` is used. ``keep``
+    columns stay beside the message.
     """
+    keep = keep or []
     source = f"'{dataset.upper()}'" if dataset else SOURCE
     known = set(df.columns)
     fields = []
@@ -84,6 +86,7 @@ def encode_messages(df: DataFrame, dataset: str | None = None) -> DataFrame:
             fields.append(f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}")
         else:
             fields.append(c)
-    rows = df.selectExpr(*fields, f"{source} AS source", f"{source} AS {SOURCE}")
-    return rows.select(F.concat_ws(":", *NATURAL_KEY).alias("key"),
-                       F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rows = df.selectExpr(*keep, *fields, f"{source} AS source", f"{source} AS {SOURCE}")
+    body = [c for c in rows.columns if c not in keep]
+    return rows.select(*keep, F.concat_ws(":", *NATURAL_KEY).alias("key"),
+                       F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("value"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from gearwatch.functions.numbers import double_sql, whole_sql
 from gearwatch.operators.selection import slice_bounds
+from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, ENGINE, READINGS, SOURCE, TEXT_COLUMNS
 
 # Fixed value: names of the known datasets.
@@ -47,7 +48,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Readings of one text file with ``line``, the 1-based position among non-blank lines.
 
     Rows are counted per file split, the counts are added up in file order, and each split
-    starts at its total; no row passes through a single task.
+    starts at its total; no row passes through a single task. There is one start per split, so
+    the starts of all but very large sources are broadcast after a count.
     """
     lines = (spark.read.text(path).filter("value RLIKE '[^ \\\\t\\\\r]'")
              .select(F.trim(F.regexp_replace("value", r"\s+", " ")).alias("_text"),
@@ -56,6 +58,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     blocks = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"))
     before = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    starts, _ = broadcast_if_small(starts)
     name = F.regexp_extract(F.element_at(F.split("_file", "/"), -1), r"^([^.]+)", 1)
     return (lines.join(starts, ["_file", "_block"])
             .select((F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line"),
@@ -105,8 +108,10 @@ def export_csv(df: DataFrame, path: str, order_by: str | None = "id") -> int:
     if not df.columns:
         raise ValueError("table has no readable columns")
     rows = df.orderBy(order_by) if order_by and order_by in df.columns else df
+    written = Observation()
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("overwrite").csv(path, header=True, escape='"', nullValue="", emptyValue='""')
-    return read_csv(df.sparkSession, path, df.schema).count()
+    return written.get["rows"]
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:

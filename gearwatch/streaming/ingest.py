@@ -12,7 +12,10 @@ from gearwatch.plans.store import Store
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Stream of ``arrival_seq`` and ``body`` from Parquet files."""
+    """Stream of ``arrival_seq`` and ``body`` from Parquet files.
+
+    The number must be unique among the files of one batch; with one file per batch, in the file.
+    """
     return (spark.readStream.schema("arrival_seq bigint, body string")
             .option("maxFilesPerTrigger", files_per_batch).parquet(path))
 
