@@ -11,7 +11,6 @@ import re
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gearwatch import schema as S
@@ -19,6 +18,7 @@ from gearwatch.functions.display import TIME_TEXT
 from gearwatch.functions.messages import accepted, rejected
 from gearwatch.operators.clean import first_by
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
+from gearwatch.session import path_exists, tune
 
 _MARKS = T.StructType([f for f in S.RAW.fields if f.name in NATURAL_KEY])
 _BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW}
@@ -34,7 +34,7 @@ class Store:
     """Tables of one deployment under one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.root = root.rstrip("/")
 
     # -- layout -----------------------------------------------------------------------------
@@ -49,12 +49,8 @@ class Store:
         return self.spark.range(0).selectExpr(*columns)
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self._nothing(schema)
+        path = f"{self.root}/{name}"
+        return self.spark.read.schema(schema).parquet(path) if path_exists(self.spark, path) else self._nothing(schema)
 
     def _log(self, name: str) -> DataFrame:
         return self._read(name, _LOGS[name])

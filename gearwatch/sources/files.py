@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from gearwatch.functions.numbers import double_sql, whole_sql
 from gearwatch.operators.selection import slice_bounds
 from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, ENGINE, READINGS, SOURCE, TEXT_COLUMNS
+from gearwatch.session import path_exists
 
 # Fixed value: names of the known datasets.
 DATASETS = ("FD001", "FD002", "FD003", "FD004")
@@ -81,13 +81,7 @@ def write_text_telemetry(df: DataFrame, path: str) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    return path_exists(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

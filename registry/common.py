@@ -10,7 +10,7 @@ from gearwatch.operators.clean import clean_telemetry
 from gearwatch.operators.features import build_features
 from gearwatch.plans.rule_run import run_rule_scoring
 from gearwatch.plans.store import Store
-from gearwatch.session import scratch_folder
+from gearwatch.session import scratch_folder, tune
 from gearwatch.sources.fixtures import batch_bounds, event_count, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,7 @@ class Checks:
 
     def add(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def register(query: Query) -> Query:
-            self.queries[name] = lambda spark, folder: rounded(query(spark, folder))
+            self.queries[name] = lambda spark, folder: rounded(query(tune(spark), folder))
             if sql:
                 self.sql[name] = sql
             return query
