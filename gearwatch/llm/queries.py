@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearwatch.llm import quality_cascade
+from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, pfair_mix, quality_cascade, suffix_trees, url_markov
 from gearwatch.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def register(function):
         QUERIES[name] = function
@@ -25,3 +30,43 @@ def query(name: str, sql: str | None = None):
 @query("op1_quality_rules")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cascade.judge(documents(spark, folder))
+
+
+@query("op2_url_filters")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return url_markov.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query("op10_document_fingerprints")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k.report(documents(spark, folder))
+
+
+@query("op9_mixing_sources")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return pfair_mix.report(documents(spark, folder))
+
+
+@query("op8_license_scans")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return license_join.scan(documents(spark, folder))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return language_ftrl.identify(documents(spark, folder))
+
+
+@query("op4_bpe_tokens")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_lexicon.digests(documents(spark, folder), tokenizer_path())
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return induced_sorting.report(documents(spark, folder))
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_trees.report(documents(spark, folder))
