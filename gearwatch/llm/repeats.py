@@ -26,6 +26,7 @@ HOT_RUNS = 500
 RUN = 1024
 #: Units of a text that are looked at together, and bytes of runs that one task searches together.
 PIECE, TOGETHER = 1 << 20, 1 << 20
+PLACES = np.uint64((1 << 21) - 1)
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BYTE_VALUES = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (np.arange(1, 257, dtype=np.uint64) << np.uint64(40))
@@ -38,24 +39,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def rolling(values: np.ndarray, size: int, base: np.uint64 = ODD) -> np.ndarray:
+def rolling(values: np.ndarray, size: int, base: int = int(ODD)) -> np.ndarray:
     """Hash of every ``size`` consecutive values, by doubling the length."""
-    result, done, power, length, factor = None, 0, values, 1, base
-    factor_done = np.uint64(1)
+    result, done, power, length, factor, factor_done = None, 0, values, 1, base, 1
     while True:
         if size & length:
             if result is None:
                 result = power
             else:
                 n = min(len(result), len(power) - done)
-                result = result[:n] + factor_done * power[done:done + n]
+                result = result[:n] + np.uint64(factor_done) * power[done:done + n]
             done += length
-            factor_done = factor_done * factor
+            factor_done = factor_done * factor % 2**64
         length *= 2
         if length > size:
             return mixed(result[:max(0, len(values) - size + 1)])
-        power = power[:-(length // 2)] + factor * power[length // 2:] if len(power) > length // 2 else power[:0]
-        factor = factor * factor
+        power = power[:-(length // 2)] + np.uint64(factor) * power[length // 2:] if len(power) > length // 2 else power[:0]
+        factor = factor * factor % 2**64
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -112,12 +112,15 @@ class Words:
         return self.begins[low], self.ends[high - 1]
 
 
-def runs(text, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and smallest gram of each run of a text's windows."""
-    firsts, grams, total = [], [], text.size - window + 1
+def runs(text, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and smallest gram of each run, and whether the run holds that gram twice."""
+    firsts, grams, twice, total = [], [], [], text.size - window + 1
     for low in range(0, max(0, total), PIECE):
         high = min(total, low + PIECE)
-        least = sliding_least(rolling(text.values(low, high + window - 1), gram), window - gram + 1)
+        hashes = rolling(text.values(low, high + window - 1), gram)
+        # The place of the smallest gram of each window, of equal ones the first, in the low bits.
+        place = sliding_least((hashes & ~PLACES) | np.arange(len(hashes), dtype=np.uint64), window - gram + 1) & PLACES
+        least = hashes[place]
         starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
         lengths = np.diff(np.append(starts, len(least)))
         if (lengths > RUN).any():
@@ -126,10 +129,11 @@ def runs(text, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
             starts = np.repeat(starts, parts) + inside * RUN
         firsts.append(starts + low)
         grams.append(least[starts])
+        twice.append(place[starts] != place[np.append(starts[1:], len(least)) - 1])
     if not firsts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     first = np.concatenate(firsts)
-    return first, np.diff(np.append(first, total)), np.concatenate(grams)
+    return first, np.diff(np.append(first, total)), np.concatenate(grams), np.concatenate(twice)
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -145,22 +149,23 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_runs(texts: DataFrame, unit: type, window: int, gram: int) -> DataFrame:
-    """(digest, nth, hot) of the runs whose gram has at least two runs in all."""
+    """(digest, nth, hot) of the runs whose gram occurs at least twice in all."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, owners = [], []
-            for at, body in enumerate(batch.column(1)):
-                found = runs(unit(body.as_py()), window, gram)[2]
+            grams, twice, owners = [], [], []
+            for body in batch.column(1):
+                _, _, found, again = runs(unit(body.as_py()), window, gram)
                 grams.append(found)
+                twice.append(again)
                 owners.append(len(found))
             if sum(owners):
                 owner = np.repeat(np.arange(len(owners)), owners)
                 nth = np.concatenate([np.arange(n, dtype=np.int32) for n in owners])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), batch.column(0).take(pa.array(owner)), pa.array(nth)], ["gram", "digest", "nth"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), batch.column(0).take(pa.array(owner)), pa.array(nth), pa.array(1 + np.concatenate(twice).astype(np.int8))], ["gram", "digest", "nth", "times"])
 
-    filed = texts.select("digest", "body").mapInArrow(file, "gram long, digest binary, nth int")
-    often = written(filed.groupBy("gram").agg(F.count("*").alias("runs")).filter("runs > 1"), "grams")
+    filed = texts.select("digest", "body").mapInArrow(file, "gram long, digest binary, nth int, times byte")
+    often = written(filed.groupBy("gram").agg(F.count("*").alias("runs"), F.sum("times").alias("times")).filter("times > 1").drop("times"), "grams")
     return filed.join(often, "gram").select("digest", "nth", (F.col("runs") > HOT_RUNS).alias("hot"))
 
 
@@ -175,7 +180,7 @@ def cut_runs(texts: DataFrame, unit: type, window: int, gram: int) -> DataFrame:
             for at, (body, found) in enumerate(zip(batch.column(2), batch.column(3))):
                 nth, hot = (found.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                 text = unit(body.as_py())
-                first, length, grams = runs(text, window, gram)
+                first, length, grams, _ = runs(text, window, gram)
                 columns["gram"] += grams[nth].view(np.int64).tolist()
                 columns["hot"] += hot.tolist()
                 columns["first"] += first[nth].tolist()
@@ -268,7 +273,7 @@ def spans_of_hot(cut: DataFrame, unit: type, window: int, same_document: bool) -
                 text = unit(body.as_py())
                 values = text.values(0, text.size)
                 a.append(rolling(values, window))
-                b.append(rolling(mixed(values), window, np.uint64(0xC2B2AE3D27D4EB4F)))
+                b.append(rolling(mixed(values), window, 0xC2B2AE3D27D4EB4F))
                 owner.append(np.full(len(a[-1]), at))
                 place.append(first.as_py() + np.arange(len(a[-1])))
             if owner:
