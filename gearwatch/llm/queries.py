@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, pfair_mix, quality_cascade, suffix_trees, url_markov
+from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, parity_join, pfair_mix, quality_cascade, suffix_trees, url_markov
 from gearwatch.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_substring_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_trees.report(documents(spark, folder))
+
+
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_join.report(documents(spark, folder))
