@@ -63,6 +63,11 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def lists(values) -> pd.Series:
+    """A column of arrays, also of none."""
+    return pd.Series(list(values), dtype=object)
+
+
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents per feature cell over all of ``docs``, and their number. A task sends one row per cell at most."""
 
@@ -111,7 +116,7 @@ def fit(sample: DataFrame, classes: int, idf: np.ndarray) -> np.ndarray:
                 z[cells] += slope - step * weights
                 n[cells] += slope ** 2
             used = np.flatnonzero(n.any(axis=1))
-            return pd.DataFrame({"cell": used, "z": list(z[used]), "n": list(n[used])})
+            return pd.DataFrame({"cell": used, "z": lists(z[used]), "n": lists(n[used])})
 
         passed = sample.groupBy("shard").applyInPandas(one_pass, "cell int, z array<double>, n array<double>")
         shards = sample.select("shard").distinct().count()
@@ -143,7 +148,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
     def prepare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [features(text) for text in frame["text"]]
-            yield pd.DataFrame({"shard": frame["shard"], "class": frame["lang"].map(names.index), "cells": [m[0] for m in made], "counts": [m[1] for m in made]})
+            yield pd.DataFrame({"shard": frame["shard"], "class": frame["lang"].map(names.index), "cells": lists(m[0] for m in made), "counts": lists(m[1] for m in made)})
 
     shard = F.pmod(F.xxhash64(F.lit(6), "doc_id", "text"), F.lit(SHARDS * 10)).cast("int")
     sample = written(picked.select("text", "lang", shard.alias("shard")).mapInPandas(prepare, "shard int, class int, cells array<int>, counts array<long>"), "language-sample")
@@ -152,7 +157,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"class": frame["class"], "scores": [weighed(c, k, idf) @ weights[c] for c, k in zip(frame["cells"], frame["counts"])]})
+            yield pd.DataFrame({"class": frame["class"], "scores": lists(weighed(c, k, idf) @ weights[c] for c, k in zip(frame["cells"], frame["counts"]))})
 
     held = held_back.mapInPandas(score, "class int, scores array<double>").toPandas()  # a tenth of the sample, a few numbers each
     scores = np.array(held["scores"].tolist()).reshape(-1, len(names))
