@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gearwatch.functions.numbers import INTEGER_TEXT, doubles_sql
+from gearwatch.functions.numbers import INTEGER_TEXT, doubles_sql, quoted
 from gearwatch.schema import CYCLE, ENGINE, NATURAL_KEY, READINGS, SOURCE, TEXT_COLUMNS
 
 _TEXTS = ", ".join(f"{c} STRING" for c in [SOURCE, "source", *TEXT_COLUMNS])
@@ -41,15 +41,15 @@ def _computed_once(df: DataFrame, keep: list[str], columns: dict[str, str]) -> D
 def parse_messages(df: DataFrame, body: str = "body", default_source: str = "UNKNOWN") -> DataFrame:
     """Typed reading and ``reject_reason`` per message; other columns are kept.
 
-    Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor. The
-    texts of all fields come from one JSON pass; a strict parse decides whether a message is JSON.
+    Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor. A strict
+    parse decides whether a message is JSON, one pass takes the texts of all fields, one the numbers.
     """
     keep = df.columns
     docs = df.selectExpr(*keep, f"try_parse_json({body}) AS _doc", f"from_json({body}, '{_TEXTS}') AS _text",
                          f"from_json({body}, '{_NUMBERS}') AS _number")
     typed = _computed_once(docs, keep, {
         "_is_json": "_doc IS NOT NULL", "_is_object": f"trim('\\t\\n\\r ' FROM {body}) LIKE '{{%'",
-        SOURCE: f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, '{default_source}')",
+        SOURCE: f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, {quoted(default_source)})",
         ENGINE: _key_number(ENGINE), CYCLE: _key_number(CYCLE),
         "_texts": f"array({', '.join(f'_text.{c}' for c in READINGS)})",
         "_values": doubles_sql([f"_text.{c}" for c in READINGS])})
@@ -76,7 +76,7 @@ def encode_messages(df: DataFrame, dataset: str | None = None, keep: list[str] |
     columns stay beside the message.
     """
     keep = keep or []
-    source = f"'{dataset.upper()}'" if dataset else SOURCE
+    source = quoted(dataset.upper()) if dataset else SOURCE
     known = set(df.columns)
     fields = []
     for c in TEXT_COLUMNS:

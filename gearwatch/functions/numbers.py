@@ -70,3 +70,9 @@ def null_if_nan(value: Column) -> Column:
 
 def clip(value: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
+
+
+def quoted(text: str) -> str:
+    """A text as a SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

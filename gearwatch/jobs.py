@@ -1,12 +1,12 @@
 """Command line of the jobs, for spark-submit.
 
     jobs.py ingest   --store S --messages PATH --feed NAME [--follow]
-    jobs.py ingest   --store S --servers H:P --topic T --partitions N --feed NAME [--follow]
+    jobs.py ingest   --store S --servers H:P --topic T --feed NAME [--max-per-batch N] [--follow]
     jobs.py publish  DATASET --out PATH | --servers H:P --topic T [--start-row N] [--limit N]
     jobs.py score    --store S [--run-type T] [--window-cycles N] [--use-trained-model --model PATH] [--respect-schedule]
-    jobs.py export   --store S --table NAME --output PATH [--order-by COLUMN]
+    jobs.py export   --store S --table NAME --output PATH [--order-by COLUMN] [--level L] [--engines TEXT]
     jobs.py train    --csv PATH [PATH ...] --model PATH [--kind forest|boosted]
-    jobs.py report   --store S NAME
+    jobs.py report   --store S NAME [--output PATH]
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ def table(store: Store, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"no table {name!r}; known: {', '.join(TABLES)}")
     rows = getattr(store, name)()
-    return rows.withColumnRenamed("raw_id", "id") if name == "raw" else rows
+    if name == "raw":
+        return rows.withColumnRenamed("raw_id", "id")
+    return rows.select(F.col("raw_id").alias("id"), "*") if name == "processed" else rows
 
 
 def report(store: Store, name: str) -> DataFrame:
@@ -78,7 +80,6 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--messages")
     ingest.add_argument("--servers")
     ingest.add_argument("--topic", default="sensor-data")
-    ingest.add_argument("--partitions", type=int, default=1)
     ingest.add_argument("--feed", default="main")
     ingest.add_argument("--default-source", default="UNKNOWN")
     ingest.add_argument("--max-per-batch", type=int)
@@ -108,6 +109,8 @@ def parser() -> argparse.ArgumentParser:
     export.add_argument("--table", default="processed", choices=TABLES)
     export.add_argument("--output", required=True)
     export.add_argument("--order-by", default="id", help="empty for no order")
+    export.add_argument("--level", help="of the newest predictions, as the table on screen shows them")
+    export.add_argument("--engines", help="engine numbers and ranges of the newest predictions, such as 3, 10-20")
 
     train = commands.add_parser("train")
     train.add_argument("--csv", nargs="+", required=True)
@@ -117,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     show = commands.add_parser("report")
     show.add_argument("--store", required=True)
     show.add_argument("name")
+    show.add_argument("--output", help="write CSV there instead of printing all rows")
     return top
 
 
@@ -127,7 +131,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"published rows={publish(spark, args)}")
         return 0
     if args.command == "train":
-        rows = ml.with_label(files.union_exports([files.read_csv(spark, path) for path in args.csv]))
+        rows = files.union_exports([files.read_csv(spark, path, infer=False) for path in args.csv])
+        rows = ml.with_label(ml.numeric_inputs(rows, [*S.MODEL_INPUTS, S.ENGINE, "demo_rul"], []))
         path = scratch_folder(spark, "training")
         rows.select(S.ENGINE, "label", *S.MODEL_INPUTS).write.parquet(path)
         learn, test = ml.split_engines(spark.read.parquet(path))
@@ -137,8 +142,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     store = Store(spark, args.store).create()
     if args.command == "ingest":
-        source = (kafka.read_stream(spark, args.servers, args.topic, args.partitions, args.max_per_batch) if args.servers
-                  else read_message_files(spark, args.messages))
+        source = (kafka.read_stream(spark, args.servers, args.topic, args.max_per_batch) if args.servers
+                  else read_message_files(spark, args.messages, args.max_per_batch or 1))
         ingest_stream(store, source, args.feed, f"{store.root}/offsets/{args.feed}",
                       default_source=args.default_source, drain=not args.follow).awaitTermination()
     elif args.command == "score" and args.use_trained_model:
@@ -146,9 +151,17 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "score":
         print(run_rule_scoring(store, args.run_type, args.window_cycles))
     elif args.command == "export":
-        print(f"rows={files.export_csv(table(store, args.table), args.output, args.order_by)}")
+        rows = table(store, args.table)
+        if args.table == "predictions" and (args.level or args.engines):
+            rows = reports.latest_predictions(rows, args.level or "ALL", args.engines or "")
+        print(f"rows={files.export_csv(rows, args.output, args.order_by)}")
+    elif args.output:
+        print(f"rows={files.export_csv(report(store, args.name), args.output, None)}")
     else:
-        report(store, args.name).show(200, truncate=False)
+        rows = report(store, args.name)
+        print("\t".join(rows.columns))
+        for row in rows.toLocalIterator():  # one part at a time, so a report of any length is shown whole
+            print("\t".join(map(str, row)))
     return 0
 
 

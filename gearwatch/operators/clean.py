@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from gearwatch.functions.numbers import double_sql, doubles_sql, finite_sql, whole_sql
+from gearwatch.functions.numbers import double_sql, doubles_sql, finite_sql, quoted, whole_sql
 from gearwatch.schema import CYCLE, ENGINE, NATURAL_KEY, READINGS, SOURCE
 
 
@@ -14,12 +14,11 @@ def conform(df: DataFrame, default_source: str = "UNKNOWN") -> DataFrame:
     ``raw_id``, ``inserted_at`` and ``arrival_seq`` are kept when present.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    default = default_source.replace("'", "\\'")
     columns = []
     if "raw_id" in types:
         columns.append(f"{whole_sql('raw_id', types['raw_id'], 'BIGINT')} AS raw_id")
     columns += [c for c in ("inserted_at", "arrival_seq") if c in types]
-    columns.append(f"coalesce(CAST({SOURCE if SOURCE in types else 'NULL'} AS STRING), '{default}') AS {SOURCE}")
+    columns.append(f"coalesce(CAST({SOURCE if SOURCE in types else 'NULL'} AS STRING), {quoted(default_source)}) AS {SOURCE}")
     columns += [f"{whole_sql(c, types.get(c), 'INT')} AS {c}" for c in (ENGINE, CYCLE)]
     texts = [c for c in READINGS if isinstance(types.get(c), T.StringType)]
     columns += [f"coalesce({double_sql(c, types.get(c))}, 0.0D) AS {c}" for c in READINGS if c not in texts]

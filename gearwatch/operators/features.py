@@ -17,6 +17,9 @@ def time_order(df: DataFrame, descending: bool = False) -> list[Column]:
 
 def last_rows(df: DataFrame, rows: int, keys: list[str] = KEY) -> DataFrame:
     """Newest ``rows`` rows per key; each map task sends on at most that many per key."""
+    spark, limit = df.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if rows > int(spark.conf.get(limit)):
+        spark.conf.set(limit, str(rows))  # up to this many rows per key Spark cuts before the shuffle
     spec = W.partitionBy(*keys).orderBy(*time_order(df, descending=True))
     return df.withColumn("_rank", F.row_number().over(spec)).filter(F.col("_rank") <= rows).drop("_rank")
 

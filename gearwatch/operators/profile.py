@@ -4,47 +4,61 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-RANGES = 1024
+from gearwatch.session import scratch_folder
+
+#: Values of a range that are gathered and sorted at the end, and the steps that a range is cut into before.
+GATHERED, STEPS = 4096, 2000
+ACCURACY = 10_000
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
-    """Exact ``n``-th smallest (1-based) non-null values of several columns.
+    """Exact ``n``-th smallest (1-based) non-null values of several columns; NaN is left out.
 
-    A pass counts the values of each open range in 1,024 parts, with their lowest and highest
-    value, and goes on in the part that holds the wanted rank until it has a single value. No
-    column is sorted or gathered; the driver sees counts only.
+    Every wanted rank lies in a range of values, at first all of them. A pass estimates the values a
+    little below and above the rank inside its range, a second one counts exactly how many values
+    are smaller and how many are not larger, and the range shrinks to a thousandth of its rows,
+    infinities and any scale included: N rows take log N / log 1000 rounds. Ranges of at most
+    ``GATHERED`` values are read and sorted. The columns are written once, and no larger part of
+    them is sorted or gathered.
     """
     columns = list(wanted)
-    values = df.selectExpr(f"stack({len(columns)}, {', '.join(f'{chr(39)}{c}{chr(39)}, CAST({c} AS DOUBLE)' for c in columns)}) AS (c, v)")
-    values = values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    path = scratch_folder(df.sparkSession, "profile")
+    df.selectExpr(*[f"CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS {c}" for c in columns]).write.parquet(path)
+    values = df.sparkSession.read.parquet(path)
     found: dict[tuple[str, int], float] = {}
-    spans = {r.c: (r.low, r.high) for r in values.groupBy("c").agg(F.min("v").alias("low"), F.max("v").alias("high")).collect()}
-    open_targets = {(c, n): (*spans[c], n) for c, ns in wanted.items() for n in ns if c in spans}
-    while open_targets:
-        for target, (low, high, _) in list(open_targets.items()):
-            if low == high:
-                found[target] = low
-                del open_targets[target]
-        if not open_targets:
+    totals = values.agg(*[F.count(c) for c in columns]).first()
+    # Per target: lowest and highest value, values below the range and values in it.
+    ranges = {(c, n): (-math.inf, math.inf, 0, total) for c, total in zip(columns, totals) for n in wanted[c] if 1 <= n <= total}
+
+    def inside(target: tuple[str, int]) -> Column:
+        low, high = ranges[target][:2]
+        return F.when(F.col(target[0]).between(F.lit(low), F.lit(high)), F.col(target[0]))
+
+    while ranges:
+        large = [t for t, r in ranges.items() if r[3] > GATHERED]
+        if not large:
             break
-        ranges = sorted({(c, low, high) for (c, _), (low, high, _) in open_targets.items()})
-        table = F.broadcast(df.sparkSession.createDataFrame(ranges, "c string, low double, high double"))
-        part = F.least(F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * RANGES), F.lit(RANGES - 1))
-        counts = (values.join(table, "c").filter("v BETWEEN low AND high")
-                  .groupBy("c", "low", "high", part.alias("part"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
-                  .orderBy("c", "low", "high", "part").collect())
-        by_range: dict[tuple, list] = {}
-        for row in counts:
-            by_range.setdefault((row.c, row.low, row.high), []).append(row)
-        for target, (low, high, n) in list(open_targets.items()):
-            for row in by_range[(target[0], low, high)]:
-                if n <= row.n:
-                    open_targets[target] = (row.first, row.last, n)
-                    break
-                n -= row.n
+        guesses = values.agg(*[F.percentile_approx(inside(t), [max(0.0, p - 1 / STEPS), min(1.0, p + 1 / STEPS)], ACCURACY)
+                               for t in large for p in [(t[1] - ranges[t][2]) / ranges[t][3]]]).first()
+        counts = values.agg(*[m for t, (a, b) in zip(large, guesses) for m in (F.count_if(F.col(t[0]) < a), F.count_if(F.col(t[0]) <= b))]).first()
+        for i, target in enumerate(large):
+            (low, high, below, rows), (a, b), n = ranges[target], guesses[i], target[1]
+            smaller, not_larger = counts[2 * i:2 * i + 2]
+            if n <= smaller:  # a miss of the estimate: go on in the part that holds the rank
+                ranges[target] = (low, math.nextafter(a, -math.inf), below, smaller - below)
+            elif n > not_larger:
+                ranges[target] = (math.nextafter(b, math.inf), high, not_larger, below + rows - not_larger)
+            elif a == b:
+                found[target] = a
+                del ranges[target]
+            else:
+                ranges[target] = (a, b, smaller, not_larger - smaller)
+    if ranges:
+        targets = list(ranges)
+        lists = values.agg(*[F.sort_array(F.collect_list(inside(t))) for t in targets]).first()
+        found |= {t: lists[i][t[1] - ranges[t][2] - 1] for i, t in enumerate(targets)}
     return found
 
 
@@ -65,7 +79,7 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
             return None
         at = places[(c, q)]
         low, high = found[(c, math.floor(at) + 1)], found[(c, math.ceil(at) + 1)]
-        return low + (high - low) * (at - math.floor(at))
+        return low if low == high else low + (high - low) * (at - math.floor(at))
 
     types = dict(df.dtypes)
     rows = [(c, types[c], stats[c][0], stats[c][1], stats[c][2], float(stats[c][3]) if stats[c][3] is not None else None,

@@ -47,11 +47,12 @@ def score_risk(latest: DataFrame, cuts: Thresholds = Thresholds(), reference_max
 def score_latest(clean: DataFrame, window: int = ROLLING_ROWS, cuts: Thresholds = Thresholds()) -> DataFrame:
     """Latest score per machine straight from clean readings.
 
-    The features of a newest row need only the last ``window`` rows of its key, so every
-    map task cuts its input to those before the one shuffle.
+    The features of a newest row need only the last ``window`` rows of its key, two at least
+    for the change, so every map task cuts its input to those before the one shuffle.
     """
-    recent = last_rows(clean, window)
-    latest = latest_per_key(build_features(recent, window, rows=window).drop("demo_rul"))
+    needed = max(window, 2)
+    recent = last_rows(clean, needed)
+    latest = latest_per_key(build_features(recent, window, rows=needed).drop("demo_rul"))
     keep = [c for c in ("raw_id", "source_file", ENGINE, CYCLE) if c in latest.columns]
     return score_risk(latest, cuts, keep=keep)
 

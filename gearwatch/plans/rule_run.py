@@ -17,6 +17,10 @@ from gearwatch.plans.store import Store, utc_now
 from gearwatch.schema import CYCLE, ENGINE, KEY, SOURCE, Thresholds
 
 
+#: Readings per key that a run keeps for the next one; a longer look-back reads the whole history.
+TAIL_ROWS = max(50, S.CONTEXT_ROWS)
+
+
 def new_rows(raw: DataFrame, after: int, up_to: int | None = None) -> DataFrame:
     """Rows past the checkpoint; the range reaches the scan."""
     rows = raw.filter(F.col("raw_id") > after)
@@ -44,6 +48,14 @@ def context_rows(raw: DataFrame, batch: DataFrame, checkpoint: int, rows: int) -
     return last_rows(history, rows).join(keys, KEY, "left_semi")
 
 
+def newest_readings(store: Store, tail: DataFrame | None, batch: DataFrame, high: int) -> DataFrame:
+    """The newest ``TAIL_ROWS`` readings per key up to id ``high``: what the next run looks back on.
+
+    Made from the last run's tail and the batch, so its cost does not grow with the history.
+    """
+    return last_rows(store.raw_between(0, high) if tail is None else tail.unionByName(batch), TAIL_ROWS)
+
+
 def only_new(features: DataFrame, after: int) -> DataFrame:
     """Feature rows of the new batch: ids past the checkpoint."""
     return features.filter(F.col("raw_id") > after)
@@ -109,18 +121,20 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
     run = store.start_run(S.RULE_PIPELINE, run_type, now, at, before)
     run_id, facts = run["run_id"], {"raw_rows_used": 0}
     try:
-        raw = store.raw()
-        rows, low, high, last = batch_facts(new_rows(raw, before, up_to)).first()
+        rows, low, high, last = batch_facts(store.raw_between(before, up_to)).first()
         if not rows:
             notes = f"No new raw rows to process; checkpoint={before}; context_cycles={window_cycles}"
             store.finish_run(run, "SUCCESS", now, checkpoint_after=before, notes=notes)
             return {"run_id": run_id, "status": "SUCCESS", "raw_rows_used": 0, "processed_rows": 0,
                     "prediction_rows": 0, "alert_rows": 0, "checkpoint_before": before, "checkpoint_after": before}
         facts = {"raw_rows_used": rows, "from_raw_id": low, "to_raw_id": high}
-        batch, context_count = new_rows(raw, before, high), 0
+        batch, context_count = store.raw_between(before, high), 0
         frame = batch
+        tail = store.tail(at["last_working_run"]) if before > 0 else None
+        store.write("tails", newest_readings(store, tail, batch, high), run_id)
         if before > 0 and window_cycles > 0:
-            context = store.write("context", context_rows(raw, batch, before, window_cycles), run_id)
+            history = tail if tail is not None and window_cycles <= TAIL_ROWS else store.raw()
+            context = store.write("context", context_rows(history, batch, before, window_cycles), run_id)
             context_count = context.count()
             frame = context.unionByName(batch)
         features = only_new(build_features(clean_telemetry(frame, unique_ids=True), rows=rows + context_count,
@@ -141,21 +155,37 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
                 "prediction_rows": results["prediction_rows"], "alert_rows": results["alert_rows"], "from_raw_id": low,
                 "to_raw_id": high, "checkpoint_before": before, "checkpoint_after": high, "context_rows": context_count}
     except Exception as error:
-        store.finish_run(run, "FAILED", now, checkpoint_after=before, notes=str(error)[:2000], **facts)
+        store.finish_run(run, "FAILED", now, checkpoint_after=before, notes=str(error), **facts)
         raise
 
 
-def recompute_keys(store: Store, keys: DataFrame, *, hot_rows: int = HOT_ROWS, now: datetime | None = None) -> dict:
-    """Rebuild the processed rows of some keys from all their readings, e.g. after late cycles."""
+def recompute_keys(store: Store, keys: DataFrame, *, cuts: Thresholds = Thresholds(), model: str = S.RULE_MODEL,
+                   hot_rows: int = HOT_ROWS, now: datetime | None = None,
+                   before_commit: Callable[[int], None] | None = None) -> dict:
+    """Rebuild the processed rows of some keys from all their readings, e.g. after late cycles.
+
+    The newest row of each of these keys is scored again, relative to the highest signal among
+    them, and alerts are drawn from it. An error leaves a FAILED row and nothing else.
+    """
     now = now or utc_now()
     at = store.position(S.RULE_PIPELINE)
     before = at["checkpoint"]
     run = store.start_run(S.RULE_PIPELINE, "recompute", now, at, before)
-    wanted, _ = broadcast_if_small(keys.select(*KEY).distinct())
-    rows = store.raw().filter(F.col("raw_id") <= before).join(wanted, KEY, "left_semi")
-    features = build_features(clean_telemetry(rows, unique_ids=True), hot_rows=hot_rows)
-    written = store.write("processed", features.withColumn("processed_at", F.lit(now).cast("timestamp")), run["run_id"])
-    count = written.count()
-    store.finish_run(run, "SUCCESS", now, checkpoint_after=before, raw_rows_used=count,
-                     notes=f"recomputed_rows={count}")
-    return {"run_id": run["run_id"], "status": "SUCCESS", "processed_rows": count}
+    run_id = run["run_id"]
+    try:
+        wanted, _ = broadcast_if_small(keys.select(*KEY).distinct())
+        rows = store.raw_between(0, before).join(wanted, KEY, "left_semi")
+        features = build_features(clean_telemetry(rows, unique_ids=True), hot_rows=hot_rows)
+        written = store.write("processed", features.withColumn("processed_at", F.lit(now).cast("timestamp")), run_id)
+        count, low, high = written.agg(F.count(F.lit(1)), F.min("raw_id"), F.max("raw_id")).first()
+        scored = score_risk(latest_per_key(written), cuts, keep=["raw_id", SOURCE, ENGINE, CYCLE])
+        results = write_results(store, scored, lambda df: score_alerts(df, cuts), run_id, at, low or 0, model, now)
+        if before_commit:
+            before_commit(run_id)
+        store.finish_run(run, "SUCCESS", now, checkpoint_after=before, raw_rows_used=count, from_raw_id=low, to_raw_id=high,
+                         notes=f"recomputed_rows={count}; prediction_rows={results['prediction_rows']}; alerts={results['alert_rows']}", **results)
+        return {"run_id": run_id, "status": "SUCCESS", "processed_rows": count,
+                "prediction_rows": results["prediction_rows"], "alert_rows": results["alert_rows"]}
+    except Exception as error:
+        store.finish_run(run, "FAILED", now, checkpoint_after=before, notes=str(error))
+        raise

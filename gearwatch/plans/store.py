@@ -8,20 +8,21 @@ Upserts are appended and resolved when read. One writer at a time.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from gearwatch import schema as S
 from gearwatch.functions.display import TIME_TEXT
 from gearwatch.functions.messages import accepted, rejected
 from gearwatch.operators.clean import first_by
+from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
 from gearwatch.session import path_exists, tune
 
 _MARKS = T.StructType([f for f in S.RAW.fields if f.name in NATURAL_KEY])
-_BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW}
+_BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW, "tails": S.RAW}
 _BY_INGEST = {"raw": S.RAW, "marks": _MARKS, "quarantine": S.QUARANTINE}
 _LOGS = {"runs": S.RUNS, "ingests": S.INGESTS, "resolutions": S.RESOLUTIONS, "schedule": S.SCHEDULE}
 
@@ -76,6 +77,17 @@ class Store:
         """Committed raw readings."""
         return self._by_ingest("raw").drop("ingest_id")
 
+    def raw_between(self, after: int, up_to: int | None = None) -> DataFrame:
+        """Committed raw readings with ``after < raw_id <= up_to``; only folders that hold such ids are opened."""
+        wanted = F.col("to_raw_id") > after
+        if up_to is not None:
+            wanted &= F.col("from_raw_id") <= up_to
+        folders = [f"{self.root}/raw/ingest_id={r[0]}" for r in self.ingests().filter(wanted).select("ingest_id").collect()]
+        if not folders:
+            return self._nothing(S.RAW)
+        rows = self.spark.read.schema(S.RAW).parquet(*folders).filter(F.col("raw_id") > after)
+        return rows if up_to is None else rows.filter(F.col("raw_id") <= up_to)
+
     def quarantine(self) -> DataFrame:
         """Rejected messages with their reason."""
         return self._by_ingest("quarantine")
@@ -101,9 +113,11 @@ class Store:
     def ingest(self, batch: DataFrame, ingest_id: str, now: datetime | None = None) -> dict:
         """Insert the first arrival of every absent natural key; return the counters.
 
-        ``batch`` needs ``arrival_seq`` (unique, grows with arrival) and the reading columns.
-        Rows with a ``reject_reason`` are quarantined. Raw ids follow arrival order and may
-        have gaps. A committed ``ingest_id`` is not inserted again.
+        ``batch`` needs ``arrival_seq``, which grows with arrival, and the reading columns. It may
+        repeat, also for files or partitions that count by themselves; ``arrival_part`` then tells
+        them apart, and equal arrivals are ordered by part and natural key. Raw ids are given out
+        here, without gaps, in that order. Rows with a ``reject_reason`` are quarantined. A
+        committed ``ingest_id`` is not inserted again.
         """
         here = F.col("ingest_id") == ingest_id
         base, known = self.ingests().agg(F.coalesce(F.max("to_raw_id"), F.lit(0)),
@@ -115,20 +129,21 @@ class Store:
             batch = batch.withColumn("reject_reason", F.lit(None).cast("string")).withColumn("body", F.lit(None).cast("string"))
         if "inserted_at" not in batch.columns:
             batch = batch.withColumn("inserted_at", F.lit(now).cast("timestamp"))
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if "arrival_part" not in batch.columns:
+            batch = batch.withColumn("arrival_part", F.lit(None).cast("string"))
+        batch = self._staged(batch, "classified", ingest_id)
         ok = F.col("reject_reason").isNull()
-        consumed, skipped, first_seq = batch.agg(
-            F.count_if(ok), F.count_if(~ok), F.min(F.when(ok, F.col("arrival_seq")))).first()
-        valid = accepted(batch).select("arrival_seq", *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
-        firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq")])
-        if base:
-            firsts = firsts.persist(StorageLevel.MEMORY_AND_DISK)
+        consumed, skipped = batch.agg(F.count_if(ok), F.count_if(~ok)).first()
+        valid = accepted(batch).select("arrival_seq", "arrival_part", *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
+        firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq"), F.col("arrival_part")])
         new = self.absent(firsts) if base else firsts
         path = f"{self.root}/raw/ingest_id={ingest_id}"
-        (new.withColumn("raw_id", F.col("arrival_seq") - F.lit(first_seq or 0) + F.lit(base + 1))
-         .select(*S.RAW.names).sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path))
+        (self._with_ids(new, base, ingest_id).select(*S.RAW.names)
+         .sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path))
         written = self.spark.read.schema(S.RAW).parquet(path)
         inserted, low, high = written.agg(F.count(F.lit(1)), F.min("raw_id"), F.max("raw_id")).first()
+        if inserted and (low, high) != (base + 1, base + inserted):
+            raise RuntimeError(f"ingest {ingest_id!r} gave {inserted} readings the ids {low} to {high}")
         (written.groupBy(*KEY).agg(F.max(CYCLE).alias(CYCLE))
          .write.mode("overwrite").parquet(f"{self.root}/marks/ingest_id={ingest_id}"))
         if skipped:
@@ -136,10 +151,29 @@ class Store:
         row = {"ingest_id": ingest_id, "consumed": consumed, "inserted": inserted, "duplicates": consumed - inserted,
                "skipped": skipped, "from_raw_id": low, "to_raw_id": high, "committed_at": now}
         self._append_log("ingests", row)
-        firsts.unpersist()
-        batch.unpersist()
         return row
 
+    def _staged(self, df: DataFrame, step: str, ingest_id: str) -> DataFrame:
+        """A step of an ingest, written and read back; an ingest that is tried again writes it anew."""
+        path = f"{self.root}/staging/{step}/ingest_id={ingest_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _with_ids(self, new: DataFrame, base: int, ingest_id: str) -> DataFrame:
+        """``new`` with consecutive raw ids above ``base`` in arrival order.
+
+        The rows are written in order; a row's id is its place in its file behind the rows of
+        the files before it. The files are fixed, so a retried task gives the same ids.
+        """
+        ordered = self._staged(new.orderBy("arrival_seq", "arrival_part", *NATURAL_KEY), "ordered", ingest_id)
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+        placed = ordered.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_place"))
+        before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row per file
+        starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size")).select(
+            "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+        starts, _ = broadcast_if_small(starts)
+        return placed.join(starts, "_part").withColumn("raw_id", F.col("_before") + F.col("_place") + F.lit(base + 1))
+
     # -- run log ----------------------------------------------------------------------------
 
     def runs(self) -> DataFrame:
@@ -150,11 +184,12 @@ class Store:
     def position(self, pipeline: str) -> dict:
         """Last run id, ids given out by committed runs and checkpoint of a pipeline, in one read of the log."""
         done, zero = F.col("status") == "SUCCESS", F.lit(0)
-        mine = done & (F.col("pipeline_name") == pipeline) & F.col("to_raw_id").isNotNull()
+        mine = done & (F.col("pipeline_name") == pipeline) & F.col("to_raw_id").isNotNull() & (F.col("run_type") != "recompute")
         return self._log("runs").agg(
             F.coalesce(F.max("run_id"), zero).alias("last_run_id"),
             F.coalesce(F.max(F.when(done, F.col("last_prediction_id"))), zero).alias("last_prediction_id"),
             F.coalesce(F.max(F.when(done, F.col("last_alert_id"))), zero).alias("last_alert_id"),
+            F.max(F.when(mine, F.col("run_id"))).alias("last_working_run"),
             F.coalesce(F.max(F.when(mine, F.col("checkpoint_after"))), zero).alias("checkpoint")).first().asDict()
 
     def start_run(self, pipeline: str, run_type: str, now: datetime, at: dict, checkpoint_before: int | None = None) -> dict:
@@ -178,7 +213,7 @@ class Store:
                                          "last_processed_inserted_at": None, "updated_at": None}
 
     def checkpoints(self) -> DataFrame:
-        done = self._log("runs").filter("status = 'SUCCESS' AND to_raw_id IS NOT NULL AND checkpoint_after IS NOT NULL")
+        done = self._log("runs").filter("status = 'SUCCESS' AND to_raw_id IS NOT NULL AND checkpoint_after IS NOT NULL AND run_type <> 'recompute'")
         return done.groupBy("pipeline_name").agg(
             F.max("checkpoint_after").alias("last_processed_raw_id"),
             F.max_by("last_inserted_at", F.struct("checkpoint_after", "run_id")).alias("last_processed_inserted_at"),
@@ -193,40 +228,77 @@ class Store:
         df.select(*schema.names).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def tail(self, run_id: int | None) -> DataFrame | None:
+        """The newest readings per key as a run left them, or None when it left none."""
+        path = f"{self.root}/tails/run_id={run_id}"
+        return self.spark.read.schema(S.RAW).parquet(path) if run_id is not None and path_exists(self.spark, path) else None
+
     def committed(self, table: str) -> DataFrame:
         """Every version written by a successful run."""
         done = self._log("runs").filter("status = 'SUCCESS'").select("run_id")
         return self._versions(table).join(done, "run_id", "left_semi")
 
-    def processed(self) -> DataFrame:
-        """Processed rows, one per raw id.
+    def overlapping_runs(self, table: str) -> list[int]:
+        """Runs whose rows of a table may be written by another run as well.
 
-        Incremental runs cover separate id ranges, so versions only have to be resolved
-        after a recompute run, which covers ids again.
+        The run log has the id range of every run. Ranges are swept in order; a run that wrote
+        without a range may overlap with all others. One row per run reaches the driver.
         """
-        rows = self.committed("processed")
-        repeats = self._log("runs").filter("status = 'SUCCESS' AND run_type = 'recompute'")
-        if repeats.isEmpty():
-            return rows
-        return first_by(rows, ["raw_id"], [F.col("run_id").desc()])
+        done = self._log("runs").filter("status = 'SUCCESS'")
+        if table == "processed":
+            done = done.filter(F.col("pipeline_name") == S.RULE_PIPELINE)
+        else:
+            done = done.filter(F.col("last_prediction_id" if table == "predictions" else "last_alert_id").isNotNull())
+        ranges = done.select("run_id", "from_raw_id", "to_raw_id").collect()
+        known = sorted((r.from_raw_id, r.to_raw_id, r.run_id) for r in ranges if r.from_raw_id is not None)
+        open_ended = [r.run_id for r in ranges if r.from_raw_id is None and path_exists(self.spark, f"{self.root}/{table}/run_id={r.run_id}")]
+        if open_ended:
+            everything = open_ended + [run for *_, run in known]
+            return sorted(everything) if len(everything) > 1 else []
+        found, reach, reaching = set(), None, None
+        for low, high, run in known:
+            if reach is not None and low <= reach:
+                found |= {run, reaching}
+            if reach is None or high > reach:
+                reach, reaching = high, run
+        return sorted(found)
+
+    def _resolved(self, table: str, columns: list[str], resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Committed rows with versions resolved; rows of runs that overlap with no other are read as they are."""
+        rows, again = self.committed(table), self.overlapping_runs(table)
+        if not again:
+            return rows.select(*columns)
+        repeated = F.col("run_id").isin(again)
+        return rows.filter(~repeated).select(*columns).unionByName(resolve(rows.filter(repeated)).select(*columns))
+
+    def processed(self) -> DataFrame:
+        """Processed rows, one per raw id: the latest. Only a recompute run covers ids again."""
+        columns = [*S.PROCESSED.names, "run_id"]
+        return self._resolved("processed", columns, lambda rows: first_by(rows, ["raw_id"], [F.col("run_id").desc()]))
 
     def predictions(self) -> DataFrame:
         """One row per raw id and model: first id and creation time, everything else latest."""
-        rows = self.committed("predictions")
         keys = ["raw_id", "model_version"]
-        latest = [c for c in rows.columns if c not in (*keys, "id", "created_at")]
-        return (rows.groupBy(*keys)
-                .agg(F.min("id").alias("id"), F.min("created_at").alias("created_at"),
-                     F.max_by(F.struct(*latest), "run_id").alias("_latest"))
-                .select("id", *keys, "created_at", "_latest.*"))
+        latest = [c for c in [*S.PREDICTIONS.names, "run_id"] if c not in (*keys, "id", "created_at")]
+
+        def resolve(rows: DataFrame) -> DataFrame:
+            return (rows.groupBy(*keys)
+                    .agg(F.min("id").alias("id"), F.min("created_at").alias("created_at"),
+                         F.max_by(F.struct(*latest), "run_id").alias("_latest"))
+                    .select("id", *keys, "created_at", "_latest.*"))
+
+        return self._resolved("predictions", ["id", *keys, "created_at", *latest], resolve)
 
     def alerts(self) -> DataFrame:
         """One row per raw id and model; a new write reopens a resolved alert."""
-        rows = self.committed("alerts")
         keys = ["raw_id", "model_version"]
-        latest = [c for c in rows.columns if c not in (*keys, "id")]
-        merged = (rows.groupBy(*keys).agg(F.min("id").alias("id"), F.max_by(F.struct(*latest), "run_id").alias("_latest"))
-                  .select("id", *keys, "_latest.*"))
+        latest = [c for c in [*S.ALERTS.names, "run_id"] if c not in (*keys, "id")]
+
+        def resolve(rows: DataFrame) -> DataFrame:
+            return (rows.groupBy(*keys).agg(F.min("id").alias("id"), F.max_by(F.struct(*latest), "run_id").alias("_latest"))
+                    .select("id", *keys, "_latest.*"))
+
+        merged = self._resolved("alerts", ["id", *keys, *latest], resolve)
         closed = self._log("resolutions").groupBy(F.col("alert_id").alias("id")).agg(F.max("after_run_id").alias("_closed"))
         return (merged.join(closed, "id", "left")
                 .withColumn("is_resolved", F.coalesce(F.col("_closed") >= F.col("run_id"), F.lit(False))).drop("_closed"))

@@ -12,6 +12,9 @@ from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, ENGINE, READINGS, SOURCE, TEXT_COLUMNS
 from gearwatch.session import path_exists
 
+#: How null is written in CSV; backslashes of texts are escaped, so no text looks like it.
+NULL_TEXT = "\\N"
+
 # Fixed value: names of the known datasets.
 DATASETS = ("FD001", "FD002", "FD003", "FD004")
 
@@ -98,20 +101,39 @@ def export_csv(df: DataFrame, path: str, order_by: str | None = "id") -> int:
     """Write CSV with a header, ordered when the column exists; returns the row count.
 
     The sort is a range-partitioned one, so part files are in order and written in parallel.
+    Null is written as ``\\N`` and empty text as ``""``. Line breaks and backslashes of texts are
+    escaped, so every row is one line and large files can be read in parts; see ``read_csv``.
     """
     if not df.columns:
         raise ValueError("table has no readable columns")
     rows = df.orderBy(order_by) if order_by and order_by in df.columns else df
     written = Observation()
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").csv(path, header=True, escape='"', nullValue="", emptyValue='""')
+    texts = _on_texts(rows, [("\\", "\\_"), ("\n", "\\n"), ("\r", "\\r")])
+    texts.write.mode("overwrite").csv(path, header=True, escape='"', nullValue=NULL_TEXT, emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return written.get["rows"]
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, empty text kept apart from null."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+def _on_texts(df: DataFrame, changes: list[tuple[str, str]]) -> DataFrame:
+    """Replace pieces of text in all text columns, one change after the other."""
+    columns = []
+    for f in df.schema.fields:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            for old, new in changes:
+                column = F.replace(column, F.lit(old), F.lit(new))
+        columns.append(column.alias(f.name))
+    return df.select(*columns)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, infer: bool = True) -> DataFrame:
+    """CSV as ``export_csv`` writes it: texts come back as they were, empty text apart from null.
+
+    Without a schema a pass over the data finds the types; without ``infer`` every column is text.
+    """
+    reader = spark.read.options(header=True, escape='"', nullValue=NULL_TEXT, emptyValue="")
+    rows = (reader.schema(schema) if schema else reader.option("inferSchema", infer)).csv(path)
+    return _on_texts(rows, [("\\n", "\n"), ("\\r", "\r"), ("\\_", "\\")])
 
 
 def union_exports(frames: list[DataFrame]) -> DataFrame:

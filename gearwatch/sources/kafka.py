@@ -20,16 +20,15 @@ def sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.retries": "5"}
 
 
-def as_arrivals(records: DataFrame, partitions: int) -> DataFrame:
-    """Broker records as ``arrival_seq`` and ``body``; the number is unique and grows per partition."""
-    return records.select((F.col("offset") * F.lit(partitions) + F.col("partition")).alias("arrival_seq"),
+def as_arrivals(records: DataFrame) -> DataFrame:
+    """Broker records as ``arrival_seq``, ``arrival_part`` and ``body``; the number grows per partition."""
+    return records.select(F.col("offset").alias("arrival_seq"), F.col("partition").cast("string").alias("arrival_part"),
                           F.col("value").cast("string").alias("body"))
 
 
-def read_stream(spark: SparkSession, servers: str, topic: str, partitions: int,
-                max_per_batch: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, servers: str, topic: str, max_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.format("kafka").options(**source_options(servers, topic, max_per_batch))
-    return as_arrivals(reader.load(), partitions)
+    return as_arrivals(reader.load())
 
 
 def publish(df: DataFrame, servers: str, topic: str, dataset: str | None = None) -> None:

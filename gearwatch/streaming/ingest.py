@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from gearwatch import schema as S
@@ -12,12 +12,10 @@ from gearwatch.plans.store import Store
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Stream of ``arrival_seq`` and ``body`` from Parquet files.
-
-    The number must be unique among the files of one batch; with one file per batch, in the file.
-    """
+    """Stream of ``arrival_seq``, ``arrival_part`` and ``body`` from Parquet files; every file counts by itself."""
     return (spark.readStream.schema("arrival_seq bigint, body string")
-            .option("maxFilesPerTrigger", files_per_batch).parquet(path))
+            .option("maxFilesPerTrigger", files_per_batch).parquet(path)
+            .select("arrival_seq", F.col("_metadata.file_name").alias("arrival_part"), "body"))
 
 
 def ingest_stream(store: Store, arrivals: DataFrame, feed: str, checkpoint: str, *,

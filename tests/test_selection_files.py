@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,7 +135,7 @@ def test_broker_options(spark):
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "500"
     assert kafka.sink_options("h:1", "t")["kafka.acks"] == "all"
     records = spark.createDataFrame([(p, o, bytearray(b"{}")) for p in range(3) for o in range(4)], "partition int, offset bigint, value binary")
-    assert records.transform(lambda d: kafka.as_arrivals(d, 3)).select("arrival_seq").distinct().count() == 12
+    assert kafka.as_arrivals(records).select("arrival_seq", "arrival_part").distinct().count() == 12
 
 
 BODIES = [
@@ -175,3 +176,27 @@ def test_message_encoding(spark):
     back = accepted(parse_messages(encode_messages(df).select(F.lit(1).alias("arrival_seq"), F.col("value").alias("body")))).first()
     assert back.s1 is None and back.s2 == 1.5 and math.isclose(back.engine_id, 7)
     assert set(READINGS) < set(TEXT_COLUMNS)
+
+
+def test_csv_brings_any_text_back(spark, tmp_path):
+    texts = ["", None, " ", "a\nb", "a\r\nb\r", "\\N", "\\n", "\\_", "\\", 'say "x", y', ",", '"', '""', "\ttab ", "ñ 🙂", "null", "#", "a\\\nb"]
+    df = spark.createDataFrame([(i, t, None if i % 3 else i / 7) for i, t in enumerate(texts)], "id int, t string, v double")
+    path = str(tmp_path / "texts")
+    assert files.export_csv(df, path) == len(texts)
+    assert sorted(files.read_csv(spark, path, df.schema).collect()) == sorted(df.collect())
+    assert [r.t for r in files.read_csv(spark, path, infer=False).orderBy(F.col("id").cast("int")).collect()] == texts
+
+
+def test_profile_of_extreme_values(spark, monkeypatch):
+    from gearwatch.operators import profile
+    rng = np.random.default_rng(2)
+    values = [float(v) for v in np.concatenate([10.0 ** rng.uniform(-200, 200, 300), -(10.0 ** rng.uniform(-300, 300, 300)), [0.0] * 50, [np.inf] * 4, [-np.inf] * 3])]
+    frame = spark.createDataFrame([(v, float(i % 7), None) for i, v in enumerate(values)], "a double, b double, c double").repartition(3)
+    wanted = {"a": [1, 3, 4, 100, 300, 340, 500, 653, 654, 657], "b": [1, 200, 657], "c": [1]}
+    truth = {"a": sorted(values), "b": sorted(float(i % 7) for i in range(len(values)))}
+    for gathered in (4096, 5):
+        monkeypatch.setattr(profile, "GATHERED", gathered)
+        found = profile.order_statistics(frame, wanted)
+        assert found == {(c, n): truth[c][n - 1] for c in "ab" for n in wanted[c]}
+    row = profile.column_profile(frame.select("a"), ["a"]).first()
+    assert (row.min, row.max, row.q50) == (-np.inf, np.inf, float(np.median(values)))

@@ -35,7 +35,7 @@ def test_ingest_counts_and_keeps_first_arrival(store, make):
     assert (again["inserted"], again["duplicates"]) == (2, 3)
     raw = {(r.engine_id, r.time_in_cycles): r for r in store.raw().collect()}
     assert len(raw) == 4 and raw[(1, 1)].s2 == 10.0
-    assert sorted(r.raw_id for r in raw.values()) == [1, 2, 6, 7]
+    assert sorted(r.raw_id for r in raw.values()) == [1, 2, 3, 4]
     assert store.ingest(make(arrivals(rows)), "a", T2)["committed_at"] == T1
     assert store.raw().count() == 4
 
@@ -161,3 +161,72 @@ def test_keyed_inserts_and_upserts(spark):
     assert insert_counts(target, batch, ["k"], order).first() == (3, 1, 2)
     merged = upsert(target, batch.filter("v != 31").drop("at"), ["k"], ["made"])
     assert sorted(tuple(r) for r in merged.collect()) == [(1, 10, 1), (2, 21, 1), (3, 30, 2)]
+
+
+def test_ids_are_unique_when_numbers_collide(store, make):
+    """Files and partitions that count from 0 each, and readings with one number, get ids of their own."""
+    rows = [{**reading(None, part, cycle, cycle), "arrival_seq": cycle // 2, "arrival_part": None} for part in range(3) for cycle in range(6)]
+    for row in rows:
+        del row["raw_id"], row["arrival_part"]
+    batch = make(rows).withColumn("arrival_part", F.col("engine_id").cast("string"))
+    assert store.ingest(batch.repartition(5), "a", T1)["to_raw_id"] == 18
+    assert store.ingest(batch.withColumn("engine_id", F.col("engine_id") + 10).repartition(3), "b", T1)["from_raw_id"] == 19
+    raw = store.raw().orderBy("raw_id").collect()
+    assert [r.raw_id for r in raw] == list(range(1, 37))
+    assert [(r.time_in_cycles // 2, r.engine_id) for r in raw[:18]] == sorted((r.time_in_cycles // 2, r.engine_id) for r in raw[:18])
+
+
+def test_a_run_opens_new_folders_and_the_tail_only(spark, store, folder, monkeypatch):
+    rows = telemetry(spark, folder).withColumn("arrival_seq", F.col("raw_id") - 1).drop("raw_id")
+    for k in range(3):
+        store.ingest(rows.filter(F.col("arrival_seq") % 3 == k), f"i{k}", T1)
+        if k < 2:
+            run_rule_scoring(store, now=T1, window_cycles=3)
+    last = store.position("rule_scoring")
+    files = store.raw_between(last["checkpoint"]).inputFiles()
+    assert files and all("ingest_id=i2" in f for f in files)
+    assert store.raw_between(10**9).count() == 0
+    monkeypatch.setattr(Store, "raw", lambda self: (_ for _ in ()).throw(AssertionError("the history is not read")))
+    run_rule_scoring(store, now=T2, window_cycles=3)
+    monkeypatch.undo()
+    longest = store.tail(store.position("rule_scoring")["last_working_run"]).groupBy("source_file", "engine_id").count().agg(F.max("count")).first()[0]
+    assert 0 < longest <= rule_run.TAIL_ROWS
+
+
+def test_short_tails_fall_back_to_the_history(store, make, monkeypatch):
+    monkeypatch.setattr(rule_run, "TAIL_ROWS", 2)
+    rows = [reading(None, 1, c, (c * 7) % 13) for c in range(1, 13)]
+    store.ingest(make(arrivals(rows[:8])), "a", T1)
+    run_rule_scoring(store, now=T1, window_cycles=6)
+    store.ingest(make(arrivals(rows[8:])), "b", T1)
+    assert run_rule_scoring(store, now=T1, window_cycles=6)["context_rows"] == 6
+    whole = build_features(clean_telemetry(store.raw(), unique_ids=True)).orderBy("raw_id").select(*DERIVED).collect()
+    assert [tuple(r) for r in store.processed().orderBy("raw_id").select(*DERIVED).collect()] == [tuple(r) for r in whole]
+
+
+def test_reports_read_separate_runs_without_resolving(store, make):
+    for k in range(3):
+        store.ingest(make(arrivals([reading(None, 1, 10 * k + c, c * c) for c in range(1, 5)])), f"i{k}", T1)
+        run_rule_scoring(store, now=T1)
+    for table in ("processed", "predictions"):
+        assert store.overlapping_runs(table) == []
+        assert "Aggregate" not in getattr(store, table)()._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    recompute_keys(store, store.raw(), now=T2)
+    assert store.overlapping_runs("processed") == [1, 2, 3, 4] and store.processed().count() == 12
+    assert store.predictions().count() == 3 and store.predictions().filter("run_id = 4").count() == 1
+
+
+def test_failed_recompute_is_logged(store, make):
+    store.ingest(make(arrivals([reading(None, 1, c, c * c) for c in range(1, 9)])), "a", T1)
+    run_rule_scoring(store, now=T1)
+    error = "no room " * 1000
+
+    def stop(run_id):
+        raise RuntimeError(error)
+
+    with pytest.raises(RuntimeError):
+        recompute_keys(store, store.raw(), now=T2, before_commit=stop)
+    failed = store.runs().filter("run_id = 2").first()
+    assert (failed.status, failed.notes, failed.checkpoint_after) == ("FAILED", error, 8)
+    assert store.processed().count() == 8 and store.predictions().filter("run_id = 2").count() == 0
+    assert recompute_keys(store, store.raw(), now=T2)["prediction_rows"] == 1
