@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from gearwatch.functions.levels import PROBABILITY_ACTIONS, SCORE_ACTIONS
-from gearwatch.schema import FLAT_SENSORS, READINGS, SENSORS, TRACKED_SENSORS
-
+# Fixed values, written out here so that a wrong text or list in the engine shows.
+SCORE_ACTIONS = {
+    "CRITICAL": "Stop machine and inspect before operation.",
+    "HIGH": "Schedule urgent inspection during the nearest safe stop.",
+    "MEDIUM": "Monitor during the next prediction window.",
+    "LOW": "Continue normal operation.",
+}
+PROBABILITY_ACTIONS = {
+    "HIGH": "Schedule urgent inspection during the nearest safe stop.",
+    "MEDIUM": "Monitor this engine closely in the next prediction run.",
+    "LOW": "Continue normal operation.",
+}
+SENSORS = [f"s{i}" for i in range(1, 22)]
+READINGS = ["op_setting_1", "op_setting_2", "op_setting_3"] + SENSORS
+FLAT_SENSORS = ["s1", "s5", "s6", "s10", "s16", "s18", "s19"]
+TRACKED_SENSORS = ["s2", "s3", "s4", "s7", "s11", "s12", "s15", "s20", "s21"]
 KEPT = [c for c in READINGS if c not in FLAT_SENSORS]
 NUMBER = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
 
