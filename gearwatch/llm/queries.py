@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, parity_join, pfair_mix, quality_cascade, suffix_trees, url_markov
+from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, oracle, parity_join, pfair_mix, quality_cascade, suffix_trees, url_markov
 from gearwatch.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_quality_rules")
+@query("op1_quality_rules", oracle.QUALITY)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cascade.judge(documents(spark, folder))
 
@@ -42,12 +42,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return bottom_k.report(documents(spark, folder))
 
 
-@query("op9_mixing_sources")
+@query("op9_mixing_sources", oracle.MIXING)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pfair_mix.report(documents(spark, folder))
 
 
-@query("op8_license_scans")
+@query("op8_license_scans", oracle.licenses(license_join.TEMPLATES, license_join.PHRASES))
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return license_join.scan(documents(spark, folder))
 
@@ -62,16 +62,16 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_lexicon.digests(documents(spark, folder), tokenizer_path())
 
 
-@query("op6_suffix_array_dedup")
+@query("op6_suffix_array_dedup", oracle.BYTES)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return induced_sorting.report(documents(spark, folder))
 
 
-@query("op7_substring_dedup")
+@query("op7_substring_dedup", oracle.PASSAGES)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_trees.report(documents(spark, folder))
 
 
-@query("op3_ngram_jaccard_join")
+@query("op3_ngram_jaccard_join", oracle.JACCARD)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.report(documents(spark, folder))
