@@ -8,7 +8,9 @@ from gearwatch.functions.numbers import INTEGER_TEXT, doubles_sql, quoted
 from gearwatch.schema import CYCLE, ENGINE, NATURAL_KEY, READINGS, SOURCE, TEXT_COLUMNS
 
 _TEXTS = ", ".join(f"{c} STRING" for c in [SOURCE, "source", *TEXT_COLUMNS])
-_NUMBERS = ", ".join(f"{c} DOUBLE" for c in [SOURCE, "source", ENGINE, CYCLE])
+_NUMBERS = ", ".join(f"{c} DOUBLE" for c in [SOURCE, "source", *TEXT_COLUMNS])
+# Every reading of a message is absent or a finite JSON number.
+_PLAIN = " AND ".join(f"(_text.{c} IS NULL OR (_number.{c} IS NOT NULL AND abs(_number.{c}) <= 1.7976931348623157E308D))" for c in READINGS)
 
 
 def _json(name: str) -> str:
@@ -43,6 +45,8 @@ def parse_messages(df: DataFrame, body: str = "body", default_source: str = "UNK
 
     Reasons, in order of checking: bad_json, not_object, bad_engine, bad_cycle, bad_sensor. A strict
     parse decides whether a message is JSON, one pass takes the texts of all fields, one the numbers.
+    Readings are taken as they are typed; only messages with a reading that is no finite number
+    have the texts of their readings examined.
     """
     keep = df.columns
     docs = df.selectExpr(*keep, f"try_parse_json({body}) AS _doc", f"from_json({body}, '{_TEXTS}') AS _text",
@@ -52,10 +56,11 @@ def parse_messages(df: DataFrame, body: str = "body", default_source: str = "UNK
         SOURCE: f"coalesce({_source_field(SOURCE)}, {_source_field('source')}, {quoted(default_source)})",
         ENGINE: _key_number(ENGINE), CYCLE: _key_number(CYCLE),
         "_texts": f"array({', '.join(f'_text.{c}' for c in READINGS)})",
-        "_values": doubles_sql([f"_text.{c}" for c in READINGS])})
+        "_plain": _PLAIN,
+        "_values": f"CASE WHEN {_PLAIN} THEN array({', '.join(f'_number.{c}' for c in READINGS)}) ELSE {doubles_sql([f'_text.{c}' for c in READINGS])} END"})
     reason = (f"CASE WHEN NOT _is_json THEN 'bad_json' WHEN NOT _is_object THEN 'not_object' "
               f"WHEN {ENGINE} IS NULL THEN 'bad_engine' WHEN {CYCLE} IS NULL THEN 'bad_cycle' "
-              "WHEN exists(arrays_zip(_texts, _values), r -> r._texts IS NOT NULL AND r._values IS NULL) THEN 'bad_sensor' "
+              "WHEN NOT _plain AND exists(arrays_zip(_texts, _values), r -> r._texts IS NOT NULL AND r._values IS NULL) THEN 'bad_sensor' "
               "END AS reject_reason")
     values = [f"_values[{i}] AS {c}" for i, c in enumerate(READINGS)]
     return typed.selectExpr(*keep, SOURCE, ENGINE, CYCLE, *values, reason)
