@@ -37,6 +37,7 @@ def action_for(level: Column, actions: dict[str, str]) -> Column:
     return F.create_map(*pairs)[level]
 
 
+# The wording of the two alert messages below is stored and searched for.
 def score_message(level: Column, engine: Column, cycle: Column, score: Column) -> Column:
     return F.concat(level, F.lit(" risk for engine "), engine.cast("string"),
                     F.lit(" at cycle "), cycle.cast("string"), F.lit(": score="), score.cast("string"))

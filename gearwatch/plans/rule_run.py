@@ -123,6 +123,7 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
     try:
         rows, low, high, last = batch_facts(store.raw_between(before, up_to)).first()
         if not rows:
+            # Fixed value: the wording of run notes is stored and read by people and scripts.
             notes = f"No new raw rows to process; checkpoint={before}; context_cycles={window_cycles}"
             store.finish_run(run, "SUCCESS", now, checkpoint_after=before, notes=notes)
             return {"run_id": run_id, "status": "SUCCESS", "raw_rows_used": 0, "processed_rows": 0,

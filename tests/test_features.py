@@ -131,3 +131,25 @@ def test_empty_input(spark, make):
     nothing = make(random_rows(1, rows=2)).filter("false")
     assert build_features(clean_telemetry(nothing)).count() == 0
     assert score_latest(clean_telemetry(nothing)).count() == 0
+
+
+def test_both_window_formulas_agree(spark, folder, monkeypatch):
+    """Lag arithmetic up to MAX_LAGS and sliding aggregates above it give the same features."""
+    import numpy as np
+    from gearwatch.operators import features as module
+    from gearwatch.operators.clean import clean_telemetry
+    from gearwatch.sources.fixtures import telemetry
+    rows = clean_telemetry(telemetry(spark, folder), unique_ids=True)
+    for window in (2, 9, 10):
+        frames = []
+        for lags in (1, 20):
+            monkeypatch.setattr(module, "MAX_LAGS", lags)
+            frames.append(module.build_features(rows, window).select("raw_id", *module.DERIVED).toPandas().sort_values("raw_id").to_numpy())
+        np.testing.assert_allclose(*frames, atol=1e-9)
+
+
+def test_long_look_backs_are_cut_on_the_map_side(spark, folder):
+    from gearwatch.operators.features import last_rows
+    from gearwatch.sources.fixtures import telemetry
+    plan = last_rows(telemetry(spark, folder), 1500)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
