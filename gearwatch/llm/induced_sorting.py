@@ -43,12 +43,23 @@ def sequence_ranks(symbols: np.ndarray, start: np.ndarray, end: np.ndarray, tail
     """
     bits = int(symbols.max()).bit_length()
     packed = max(1, 63 // bits)
+    # At each place the next symbols in one number; a mask takes away those behind a sequence's end.
     padded = np.append(symbols, np.zeros(packed + 1, np.int64))
+    numbers = np.zeros(len(symbols) + 1, np.int64)
+    for k in range(packed):
+        numbers = (numbers << bits) | padded[k:k + len(numbers)]
+    masks = np.array([(1 << bits * packed) - (1 << bits * (packed - n)) for n in range(packed + 1)], np.int64)
     ranks, active, at = np.zeros(len(start), np.int64), np.arange(len(start)), start.copy()
 
     def divide(members: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank members of equal rank anew by key; returns them in order, and their group starts."""
-        order = np.lexsort((key, ranks[members])) if ranks.any() else np.argsort(key, kind="stable")
+        first = ranks[members]
+        if not first.any():
+            order = np.argsort(key)
+        elif key.max() < 1 << 31:
+            order = np.argsort(first << 32 | key)
+        else:
+            order = np.lexsort((key, first))
         members, key = members[order], key[order]
         old = ranks[members]
         other = np.append(True, old[1:] != old[:-1])
@@ -57,10 +68,8 @@ def sequence_ranks(symbols: np.ndarray, start: np.ndarray, end: np.ndarray, tail
         return members, groups
 
     while len(active):
-        key = np.zeros(len(active), np.int64)
-        places, last = at[active], end[active]
-        for k in range(packed):
-            key = (key << bits) | np.where(places + k <= last, padded[np.minimum(places + k, len(symbols))], 0)
+        places = at[active]
+        key = numbers[places] & masks[np.minimum(end[active] - places + 1, packed)]
         members, groups = divide(active, key)
         several = np.bincount(groups, minlength=len(members))[groups] > 1
         members = members[several]
@@ -72,11 +81,12 @@ def sequence_ranks(symbols: np.ndarray, start: np.ndarray, end: np.ndarray, tail
     return ranks
 
 
-def suffix_ranks(text: np.ndarray) -> np.ndarray:
-    """The place of each suffix of a string of non-negative numbers in their sorted order."""
+def suffix_ranks(text: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The place of each suffix of a string of non-negative numbers, or of each wanted one, in their sorted order."""
     size = len(text)
+    wanted = np.arange(size) if wanted is None else wanted
     if size < 2:
-        return np.zeros(size, np.int64)
+        return np.zeros(len(wanted), np.int64)
     firsts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
     grows = np.append(text[firsts[1:]] > text[firsts[:-1]], False)  # the end is smaller than any symbol
     smaller = np.repeat(grows, np.diff(np.append(firsts, size)))
@@ -88,9 +98,9 @@ def suffix_ranks(text: np.ndarray) -> np.ndarray:
         placed = names if names.max() + 1 == len(names) else suffix_ranks(names)
     else:
         placed = np.zeros(0, np.int64)
-    following = np.searchsorted(leftmost, np.arange(size), side="right")
+    following = np.searchsorted(leftmost, wanted, side="right")
     end = np.append(leftmost, size)[following]
-    return sequence_ranks(symbols, np.arange(size), end, np.append(placed + 1, 0)[following])
+    return sequence_ranks(symbols, wanted, end, np.append(placed + 1, 0)[following])
 
 
 def share_window(packed: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -113,8 +123,8 @@ def within(texts: list[Bytes], doc_rank: np.ndarray, rank: np.ndarray) -> tuple[
     symbols = joined.astype(np.int64) + 1
     symbols[np.cumsum(sizes) - 1] = 0
     starts = np.flatnonzero(place + WINDOW < sizes[row])
-    ranks = suffix_ranks(symbols)
-    array = starts[np.argsort(ranks[starts], kind="stable")]
+    array = np.empty_like(starts)
+    array[suffix_ranks(symbols, starts)] = starts  # only windows are placed; all leftmost S-suffixes were sorted
     padded = np.append(joined, np.zeros(8, np.uint8)).astype(np.uint64)
     packed = np.zeros(len(joined), np.uint64)
     for k in range(8):
