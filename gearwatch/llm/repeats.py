@@ -21,11 +21,11 @@ from gearwatch.llm.common import LAST, by_value, shuffle_partitions, written, wr
 
 by_value(__name__)
 
-HOT_RUNS = 500
+HOT_RUNS = 4000
 #: Windows of one run at most; longer ones are cut, which leaves every window in one run.
 RUN = 1024
-#: Units of a text that are looked at together, and bytes of runs that one task searches together.
-PIECE, TOGETHER = 1 << 20, 1 << 20
+#: Units of a text that are looked at together, bytes of runs that one task searches together, and texts cut together.
+PIECE, TOGETHER, SLICE = 1 << 20, 1 << 19, 200
 PLACES = np.uint64((1 << 21) - 1)
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -148,21 +148,25 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return written_by(found, "digest", shuffle_partitions(docs.sparkSession), "texts")
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of few texts, so that what is made of a part stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def repeated_runs(texts: DataFrame, unit: type, window: int, gram: int) -> DataFrame:
     """(digest, nth, hot) of the runs whose gram occurs at least twice in all."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, twice, owners = [], [], []
-            for body in batch.column(1):
-                _, _, found, again = runs(unit(body.as_py()), window, gram)
-                grams.append(found)
-                twice.append(again)
-                owners.append(len(found))
-            if sum(owners):
-                owner = np.repeat(np.arange(len(owners)), owners)
-                nth = np.concatenate([np.arange(n, dtype=np.int32) for n in owners])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), batch.column(0).take(pa.array(owner)), pa.array(nth), pa.array(1 + np.concatenate(twice).astype(np.int8))], ["gram", "digest", "nth", "times"])
+        for part in slices(batches):
+            found = [runs(unit(body.as_py()), window, gram) for body in part.column(1)]
+            sizes = [len(grams) for _, _, grams, _ in found]
+            if sum(sizes):
+                owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                nth = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+                grams, twice = (np.concatenate([f[k] for f in found]) for k in (2, 3))
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), part.column(0).take(owner), pa.array(nth), pa.array(1 + twice.astype(np.int8))], ["gram", "digest", "nth", "times"])
 
     filed = texts.select("digest", "body").mapInArrow(file, "gram long, digest binary, nth int, times byte")
     often = written(filed.groupBy("gram").agg(F.count("*").alias("runs"), F.sum("times").alias("times")).filter("times > 1").drop("times"), "grams")
@@ -174,7 +178,7 @@ def cut_runs(texts: DataFrame, unit: type, window: int, gram: int) -> DataFrame:
     wanted = repeated_runs(texts, unit, window, gram).groupBy("digest").agg(F.collect_list(F.struct("nth", "hot")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns: dict[str, list] = {name: [] for name in ("gram", "hot", "first", "units", "body")}
             owner = []
             for at, (body, found) in enumerate(zip(batch.column(2), batch.column(3))):
@@ -267,7 +271,7 @@ def spans_of_hot(cut: DataFrame, unit: type, window: int, same_document: bool) -
     copied = compared.filter("least < order").select("digest", "first", (F.col("first") + F.col("units")).alias("stop"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             a, b, owner, place = [], [], [], []
             for at, (body, first) in enumerate(zip(batch.column(3), batch.column(2))):
                 text = unit(body.as_py())
@@ -315,7 +319,7 @@ def with_spans(texts: DataFrame, spans: DataFrame, make: Callable, schema: str)
     kinds = [types[field.strip().split()[1]] for field in schema.split(",")]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for body, found in zip(batch.column(2), batch.column(3)):
                 first, stop = (found.values.field(k).to_numpy() for k in (0, 1)) if found.is_valid else (np.zeros(0, np.int64),) * 2
