@@ -21,6 +21,9 @@ from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
 from gearwatch.session import path_exists, tune
 
+#: Ingests after which one writes the marks of all keys again.
+MARK_FOLDERS = 16
+
 _MARKS = T.StructType([f for f in S.RAW.fields if f.name in NATURAL_KEY])
 _BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW, "tails": S.RAW}
 _BY_INGEST = {"raw": S.RAW, "marks": _MARKS, "quarantine": S.QUARANTINE}
@@ -92,9 +95,17 @@ class Store:
         """Rejected messages with their reason."""
         return self._by_ingest("quarantine")
 
+    def _mark_folders(self) -> list[str]:
+        """Folders of the marks of all keys: those since the last ingest that wrote the marks of every key."""
+        log = self.ingests().filter("to_raw_id IS NOT NULL")
+        since = log.filter("full_marks = 1").agg(F.coalesce(F.max("to_raw_id"), F.lit(0))).first()[0]
+        return [f"{self.root}/marks/ingest_id={r[0]}" for r in log.filter(F.col("to_raw_id") >= since).select("ingest_id").collect()]
+
     def newest_cycles(self) -> DataFrame:
-        """Highest stored cycle per key, from the small per-ingest marks."""
-        return self._by_ingest("marks").groupBy(*KEY).agg(F.max(CYCLE).alias("_mark"))
+        """Highest stored cycle per key, from the marks of at most ``MARK_FOLDERS`` ingests."""
+        folders = self._mark_folders()
+        marks = self.spark.read.schema(_MARKS).parquet(*folders) if folders else self._nothing(_MARKS)
+        return marks.groupBy(*KEY).agg(F.max(CYCLE).alias("_mark"))
 
     def absent(self, rows: DataFrame) -> DataFrame:
         """Rows whose natural key is not stored yet.
@@ -144,12 +155,16 @@ class Store:
         inserted, low, high = written.agg(F.count(F.lit(1)), F.min("raw_id"), F.max("raw_id")).first()
         if inserted and (low, high) != (base + 1, base + inserted):
             raise RuntimeError(f"ingest {ingest_id!r} gave {inserted} readings the ids {low} to {high}")
-        (written.groupBy(*KEY).agg(F.max(CYCLE).alias(CYCLE))
+        full = len(self._mark_folders()) >= MARK_FOLDERS
+        marks = written.select(*NATURAL_KEY)
+        if full:
+            marks = marks.unionByName(self.newest_cycles().withColumnRenamed("_mark", CYCLE))
+        (marks.groupBy(*KEY).agg(F.max(CYCLE).alias(CYCLE))
          .write.mode("overwrite").parquet(f"{self.root}/marks/ingest_id={ingest_id}"))
         if skipped:
             rejected(batch).write.mode("overwrite").parquet(f"{self.root}/quarantine/ingest_id={ingest_id}")
         row = {"ingest_id": ingest_id, "consumed": consumed, "inserted": inserted, "duplicates": consumed - inserted,
-               "skipped": skipped, "from_raw_id": low, "to_raw_id": high, "committed_at": now}
+               "skipped": skipped, "from_raw_id": low, "to_raw_id": high, "committed_at": now, "full_marks": int(full)}
         self._append_log("ingests", row)
         return row
 

@@ -77,7 +77,8 @@ RUNS = _struct(
 
 INGESTS = _struct(
     ("ingest_id", _TEXT), ("consumed", _ID), ("inserted", _ID), ("duplicates", _ID),
-    ("skipped", _ID), ("from_raw_id", _ID), ("to_raw_id", _ID), ("committed_at", _TIME))
+    ("skipped", _ID), ("from_raw_id", _ID), ("to_raw_id", _ID), ("committed_at", _TIME),
+    ("full_marks", _INT))
 
 RESOLUTIONS = _struct(("alert_id", _ID), ("after_run_id", _ID), ("resolved_at", _TIME))
 

@@ -93,7 +93,7 @@ def checkpoint_advance(spark, folder):
 SELECT 'batch-' || part AS ingest_id, count(*) AS consumed, count(*) AS inserted, CAST(0 AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS skipped,
   min(event_id) + 1 AS from_raw_id, max(event_id) + 1 AS to_raw_id FROM b GROUP BY part""")
 def ingest_log(spark, folder):
-    return scored_store(spark, folder).ingests().drop("committed_at")
+    return scored_store(spark, folder).ingests().drop("committed_at", "full_marks")
 
 
 # -- failure, retry, empty batch --------------------------------------------------------------

@@ -230,3 +230,16 @@ def test_failed_recompute_is_logged(store, make):
     assert (failed.status, failed.notes, failed.checkpoint_after) == ("FAILED", error, 8)
     assert store.processed().count() == 8 and store.predictions().filter("run_id = 2").count() == 0
     assert recompute_keys(store, store.raw(), now=T2)["prediction_rows"] == 1
+
+
+def test_marks_are_folded(store, make, monkeypatch):
+    from gearwatch.plans import store as module
+    monkeypatch.setattr(module, "MARK_FOLDERS", 3)
+    for k in range(9):
+        rows = [reading(None, e, k + 1, k) for e in range(k % 3, 4)] + [reading(None, 0, 1, 5)]
+        store.ingest(make(arrivals(rows)), f"i{k}", T1)
+        assert len(store._mark_folders()) <= 3 + 1
+        truth = {r.engine_id: r.c for r in store.raw().groupBy("engine_id").agg(F.max("time_in_cycles").alias("c")).collect()}
+        assert {r.engine_id: r._mark for r in store.newest_cycles().collect()} == truth
+    assert store.ingests().filter("full_marks = 1").count() >= 2
+    assert store.raw().groupBy(*NATURAL_KEY).count().filter("count > 1").count() == 0
