@@ -13,7 +13,8 @@ next one only, within a task before the shuffle and between tasks behind it. Can
 filter on sizes and on the Hamming distance of 2,048-bit sketches and are then verified on their
 shingles, first the nearest of each set, then those that would join different components. Bands in
 which a chain met two components are completed: all their pairs across components are compared, in
-blocks of bounded size. So components are those of all links, while pairs inside a component are
+blocks of bounded size: first only the nearest pairs that would join components, then, when these
+are verified, all that are left. So components are those of all links, while pairs inside a component are
 not listed.
 
 Defined cases: a null or blank text has no shingle and links with nothing; fewer words than a
@@ -215,10 +216,10 @@ def labelled(frame: DataFrame, labels: DataFrame, ends: list[str]) -> DataFrame:
     return frame
 
 
-def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame, forest: bool) -> DataFrame:
     """(a, b) across components that agree in a band whose chain met two components, and may link.
 
-    A band's members are dealt into blocks; each pair of blocks is compared in one group of at most
+    With ``forest`` a group gives only as many pairs as join its components, nearest first. A band's members are dealt into blocks; each pair of blocks is compared in one group of at most
     2 * BLOCK members on average, so no band is gathered in one task.
     """
     met = labelled(edges, labels, ["a", "b"]).filter("a_label <> b_label").select("key").distinct()
@@ -238,6 +239,7 @@ def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFra
         def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
             key, low, high, own, node, label, size = (table.column(name).to_numpy() for name in ("key", "low", "high", "own", "node", "label", "size"))
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+            label = label.copy()
             starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
             found = []
             for first, last in zip(starts, np.append(starts[1:], len(key))):
@@ -249,7 +251,13 @@ def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFra
                         near &= own[rest] != own[at]
                     where = np.flatnonzero(near) + at + 1
                     distance = np.bitwise_count(sketch[where] ^ sketch[at]).sum(axis=1)
-                    where = where[distance <= most_different(size[where], size[at])]
+                    close = distance <= most_different(size[where], size[at])
+                    where = where[close]
+                    if forest and len(where):
+                        where = where[np.argsort(distance[close], kind="stable")]
+                        _, nearest = np.unique(label[where], return_index=True)
+                        where = where[nearest]  # one pair for each component that is joined here
+                        label[first:last][np.isin(label[first:last], label[where])] = label[at]
                     found.append(np.stack([np.minimum(node[where], node[at]), np.maximum(node[where], node[at])], axis=1))
             if found:
                 unique = np.unique(np.concatenate(found), axis=0)
@@ -282,9 +290,12 @@ def linked_texts(texts: DataFrame) -> DataFrame:
     labels = components(links)
     across = labelled(near, labels, ["a", "b"]).filter("a_label <> b_label").select("a", "b").join(nearest, ["a", "b"], "left_anti")
     links = links.unionByName(verified(across, nodes))
-    labels = components(links)
-    missed = written(open_pairs(edges, labels, nodes).join(pairs, ["a", "b"], "left_anti"), "missed")
-    return components(links.unionByName(verified(missed, nodes)))
+    # First what would join the components of open bands, then whatever is still across components.
+    for forest in (True, False):
+        labels = components(links)
+        missed = written(open_pairs(edges, labels, nodes, forest).join(pairs, ["a", "b"], "left_anti"), "missed")
+        links, pairs = links.unionByName(verified(missed, nodes)), pairs.unionByName(missed)
+    return components(links)
 
 
 def per_text(texts: DataFrame) -> DataFrame:
