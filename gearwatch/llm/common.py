@@ -43,15 +43,19 @@ def positions(count: Column) -> Column:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_by(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
-    """As ``written``, hashed by ``key``: later joins and groups on it move only the other side."""
-    spark = df.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", scratch_folder(spark, label)).format("parquet").saveAsTable(name))
+def written_by(grouped: DataFrame, key: str, label: str) -> DataFrame:
+    """As ``written``, in buckets of ``key``: later joins and groups on it move only the other side.
+
+    ``grouped`` is the result of grouping by ``key``, so its partitions are these buckets already
+    and each bucket is written as one file without another shuffle.
+    """
+    spark = grouped.sparkSession
+    name, buckets = f"{label}_{uuid.uuid4().hex}", shuffle_partitions(spark)
+    grouped.write.bucketBy(buckets, key).options(path=scratch_folder(spark, label), compression="zstd").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 

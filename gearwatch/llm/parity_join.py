@@ -327,11 +327,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of repeated rows with one id and text one stays. Rows without an id stay only where no linked row has one.
     """
     texts = distinct_texts(docs.select("doc_id", "text"))
-    packed = docs.select(F.struct("*").alias("packed"), "doc_id", "text")
-    found = by_document(packed, per_text(texts))
+    found = by_document(docs, per_text(texts))
     number = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST))
     stays = found.filter((F.col("n_shingles") == 0) | (number == F.col("component")))
     # Several rows of a component are left only if rows repeat an id or have none.
     blank = F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id())
-    rows = stays.select("label", blank.alias("blank"), F.col("row.packed").alias("packed"), F.xxhash64("row.packed").alias("order"))
-    return rows.groupBy("label", "blank").agg(F.min_by("packed", "order").alias("packed")).select("packed.*")
+    rows = stays.select("label", blank.alias("blank"), F.struct("row", "is_null", "digest").alias("kept"), F.xxhash64("digest", "row").alias("order"))
+    one = rows.groupBy("label", "blank").agg(F.min_by("kept", "order").alias("kept")).select("kept.*")
+    # The texts of the rows that stay come from the table of texts, which need not be moved.
+    whole = texts.select("digest", "body").join(one, "digest")
+    text = F.when(~F.col("is_null"), F.col("body").cast("string"))
+    return whole.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gearwatch.llm.common import LAST, by_value, shuffle_partitions, written, written_by
+from gearwatch.llm.common import LAST, by_value, written, written_by
 
 by_value(__name__)
 
@@ -145,7 +145,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     body = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), body.alias("body"), F.unhex(F.md5(body)).alias("digest"))
     found = rows.groupBy("digest").agg(F.min("id").alias("first_doc"), F.first("body").alias("body"))
-    return written_by(found, "digest", shuffle_partitions(docs.sparkSession), "texts")
+    return written_by(found, "digest", "texts")
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +332,12 @@ def with_spans(texts: DataFrame, spans: DataFrame, make: Callable, schema: str)
 
 
 def by_document(docs: DataFrame, results: DataFrame) -> DataFrame:
-    """Every row of ``docs`` as ``row`` with its text's results, and whether an equal text has a smaller id."""
+    """Every row of ``docs`` without its text as ``row``, with its text's digest and results.
+
+    ``is_null`` tells a missing text from an empty one, ``is_copy`` whether an equal text has a
+    smaller id. The texts themselves are not moved.
+    """
     text = F.coalesce("text", F.lit("")).cast("binary")
-    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), F.unhex(F.md5(text)).alias("digest"))
-    joined = rows.join(written(results, "text-results"), "digest")
-    return joined.withColumn("is_copy", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)) > F.col("first_doc")).drop("digest", "first_doc")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), F.col("text").isNull().alias("is_null"), F.unhex(F.md5(text)).alias("digest"))
+    joined = rows.join(results, "digest")
+    return joined.withColumn("is_copy", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)) > F.col("first_doc")).drop("first_doc")

@@ -104,12 +104,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A null text stays null, and a text without words stays as it is. n_chars, if present, follows the text.
     """
     texts, spans = search(docs)
-    packed = docs.select(F.struct("*").alias("packed"), "doc_id", "text")
-    found = by_document(packed, with_spans(texts, spans, _cleaned, "n_words long, cleaned string"))
+    found = by_document(docs, with_spans(texts, spans, _cleaned, "n_words long, cleaned string"))
     emptied = F.col("is_copy") & (F.col("n_words") >= WINDOW)
     bare = F.trim(F.translate("cleaned", "\t\n\x0b\x0c\r", "     ")) == ""
     left = found.filter(~emptied & ~((F.col("n_words") > 0) & bare))
-    row = F.col("row.packed")
-    text = F.when(row["text"].isNull(), F.lit(None)).otherwise(F.col("cleaned"))
+    text = F.when(~F.col("is_null"), F.col("cleaned"))
     changed = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return left.select(*[changed[c].alias(c) if c in changed else row[c].alias(c) for c in docs.columns])
+    return left.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns])
