@@ -38,13 +38,14 @@ by_value(__name__)
 LEXICON_WORDS = 50_000
 #: Words that a task's summary keeps; a word is missed only below 1 / SUMMARY_WORDS of a task's words.
 SUMMARY_WORDS = 100_000
-#: Blank-separated pieces whose result a task keeps at hand.
-CACHE = 200_000
+#: Blank-separated pieces whose result a task keeps at hand, twice over, and length of a long word.
+CACHE, LONG_WORD = 200_000, 48
 END = "</w>"
 
 # Unicode white space, and the pattern that cuts normalised text into words.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
+MARKS = frozenset(".,;:!?")
 GAPS = regex.compile(f"[{WHITE}]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # blanks for str.split, not for the tokenizer
 
@@ -71,34 +72,54 @@ class Merges:
         symbols = byte_symbols()
         self.inner = [vocabulary.get(s) for s in symbols]
         self.last = [vocabulary.get(s + END) for s in symbols]
-        self.ranks = {}
+        self.ranks, self.made = {}, []  # rank of a pair (first << 32 | second), id made at a rank
         for rank, (a, b) in enumerate(content["model"]["merges"]):
-            self.ranks.setdefault((vocabulary[a], vocabulary[b]), (rank, vocabulary[a + b]))
+            self.ranks.setdefault(vocabulary[a] << 32 | vocabulary[b], rank)
+            self.made.append(vocabulary[a + b])
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word: always the pair of lowest rank next, the first one of equals."""
         ids = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
         if None in ids:
             raise KeyError(f"no symbol for a byte of {word!r}")
+        if len(ids) > LONG_WORD:
+            return self.merge_long(ids)
+        ranks, made = self.ranks, self.made
+        none = len(made)
+        waiting = [ranks.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while waiting and (rank := min(waiting)) < none:
+            at = waiting.index(rank)
+            ids[at:at + 2] = [made[rank]]
+            del waiting[at]
+            if at < len(waiting):
+                waiting[at] = ranks.get(ids[at] << 32 | ids[at + 1], none)
+            if at:
+                waiting[at - 1] = ranks.get(ids[at - 1] << 32 | ids[at], none)
+        return ids
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs, for words where looking at every pair each time would be slow."""
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         ranks, waiting = self.ranks, []
+
+        def push(at: int, then: int) -> None:
+            if (rank := ranks.get(ids[at] << 32 | ids[then])) is not None:
+                heapq.heappush(waiting, (rank, at, ids[at], ids[then]))
+
         for at in range(len(ids) - 1):
-            if pair := ranks.get((ids[at], ids[at + 1])):
-                waiting.append((pair[0], at, ids[at], ids[at + 1], pair[1]))
-        heapq.heapify(waiting)
+            push(at, at + 1)
         while waiting:
-            _, at, a, b, made = heapq.heappop(waiting)
+            rank, at, a, b = heapq.heappop(waiting)
             then = after[at]
             if ids[at] != a or then >= len(ids) or ids[then] != b:
                 continue  # one of the two was merged meanwhile
-            ids[at], ids[then] = made, -1
+            ids[at], ids[then] = self.made[rank], -1
             after[at] = after[then]
             if after[at] < len(ids):
                 before[after[at]] = at
-                if pair := ranks.get((made, ids[after[at]])):
-                    heapq.heappush(waiting, (pair[0], at, made, ids[after[at]], pair[1]))
-            if before[at] >= 0 and (pair := ranks.get((ids[before[at]], made))):
-                heapq.heappush(waiting, (pair[0], before[at], ids[before[at]], made, pair[1]))
+                push(at, after[at])
+            if before[at] >= 0:
+                push(before[at], at)
         return [i for i in ids if i >= 0]
 
 
@@ -150,6 +171,9 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     return sizes.tobytes() + b"".join(np.array(t, np.int32).tobytes() for t in tables) + bytes(labels)
 
 
+SINGLE = [bytes([b]) for b in range(256)]
+
+
 class Lexicon:
     """A compiled lexicon, mapped from its file."""
 
@@ -166,13 +190,13 @@ class Lexicon:
 
     def ids_of(self, word: bytes) -> list[int] | None:
         state, number, labels, find = self.root, 0, self.labels, self.bytes.find
-        for at in range(len(word)):
-            arc = find(word[at:at + 1], labels + self.first[state], labels + self.first[state + 1])
+        first, passed, targets = self.first, self.passed, self.targets
+        for byte in word:
+            arc = find(SINGLE[byte], labels + first[state], labels + first[state + 1]) - labels
             if arc < 0:
                 return None
-            arc -= labels
-            number += self.passed[arc]
-            state = self.targets[arc]
+            number += passed[arc]
+            state = targets[arc]
         return self.ids[self.offsets[number]:self.offsets[number + 1]].tolist() if self.final[state] else None
 
 
@@ -185,6 +209,10 @@ def words_of(piece: str) -> list[bytes]:
     """Normalised words of a piece, in UTF-8. Letters are lower-cased one by one, whatever stands beside them."""
     plain = unicodedata.normalize("NFC", piece)
     lowered = "".join(map(str.lower, plain)) if "Σ" in plain else plain.lower()
+    if lowered.isalpha():  # the common case needs no pattern
+        return [lowered.encode()]
+    if lowered[-1:] in MARKS and lowered[:-1].isalpha():
+        return [lowered[:-1].encode(), lowered[-1:].encode()]
     return [word.encode() for word in WORD.findall(lowered)]
 
 
@@ -194,15 +222,27 @@ class Encoder:
     def __init__(self, merges: Merges, lexicon: Lexicon | None = None) -> None:
         self.merges, self.lexicon = merges, lexicon
         self.cache: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}  # the cache before it was last full
+        self.words: dict[bytes, tuple[int, str, str]] = {}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True))) + ")") if merges.special else None
 
+    def word(self, word: bytes) -> tuple[int, str, str]:
+        """Number of ids, ids and tokens of a word, joined by blanks."""
+        if (known := self.words.get(word)) is None:
+            ids = self.lexicon.ids_of(word) if self.lexicon else None
+            if ids is None:
+                ids = self.merges.merge(word)
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            known = self.words[word] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+        return known
+
     def piece(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, ids and tokens of one piece, joined by blanks."""
-        ids: list[int] = []
-        for word in words_of(text):
-            known = self.lexicon.ids_of(word) if self.lexicon else None
-            ids += self.merges.merge(word) if known is None else known
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        """The same of a piece of several words."""
+        words = [self.word(word) for word in words_of(text)]
+        if len(words) == 1:
+            return words[0]
+        return sum(n for n, _, _ in words), " ".join([ids for _, ids, _ in words]), " ".join([tokens for _, _, tokens in words])
 
     def parts(self, text: str | None) -> list[tuple[int, str, str]]:
         if not text:
@@ -215,8 +255,9 @@ class Encoder:
             for piece in pieces(part):
                 if (known := cache.get(piece)) is None:
                     if len(cache) >= CACHE:
-                        cache.clear()
-                    known = cache[piece] = self.piece(piece)
+                        self.older, self.cache = cache, {}
+                        cache = self.cache
+                    known = cache[piece] = self.older.get(piece) or self.piece(piece)
                 if known[0]:
                     found.append(known)
         return found
