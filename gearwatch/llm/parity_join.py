@@ -37,8 +37,9 @@ from gearwatch.llm.repeats import Words, by_document, distinct_texts, mixed, rol
 
 by_value(__name__)
 
+# Words of a shingle and the least similarity in percent, unless others are given:
+# links need percent * union <= 100 * intersection.
 SHINGLE = 4
-# Links need PERCENT * union <= 100 * intersection.
 PERCENT = 85
 GROWTH = 1.5
 SKETCH_BITS = 2048
@@ -46,36 +47,36 @@ SKETCH_BITS = 2048
 CHAINED, BLOCK = 1_000_000, 256
 
 
-def shingles(body: bytes) -> np.ndarray:
+def shingles(body: bytes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a text, A-Z lower-cased."""
     words = Words(body.lower())
     if not words.size:
         return np.zeros(0, np.uint64)
-    return np.unique(rolling(words.values(0, words.size), min(SHINGLE, words.size)))
+    return np.unique(rolling(words.values(0, words.size), min(shingle, words.size)))
 
 
-def most_different(a, b):
+def most_different(a, b, percent: int = PERCENT):
     """The largest symmetric difference of linked sets of these sizes."""
-    return (100 - PERCENT) * (a + b) // (100 + PERCENT)
+    return (100 - percent) * (a + b) // (100 + percent)
 
 
-def levels_of(size: int) -> list[tuple[int, int]]:
+def levels_of(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """(first size, last size) of the size's level, and of the next one if a larger partner may be there."""
     low, high = 1, 2
     while high <= size:
         low, high = high, max(high + 1, int(high * GROWTH))
     found = [(low, high - 1)]
-    if 100 * size >= PERCENT * high:
+    if 100 * size >= percent * high:
         found.append((high, max(high + 1, int(high * GROWTH)) - 1))
     return found
 
 
-def band_keys(tokens: np.ndarray) -> np.ndarray:
+def band_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the bands a set is filed under; sets that link have one in common."""
     keys = []
     scattered = mixed(tokens ^ np.uint64(0xA5A5A5A55A5A5A5A))
-    for low, high in levels_of(len(tokens)):
-        different = most_different(high, high)
+    for low, high in levels_of(len(tokens), percent):
+        different = most_different(high, high, percent)
         spare = -(-different // 8) + 1 if different else 0
         bands = different + 1 + spare
         place = (scattered % np.uint64(bands)).astype(np.int64)
@@ -109,7 +110,7 @@ def chained(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, nodes, np.append(nodes[:1], nodes[:-1]), same
 
 
-def band_edges(texts: DataFrame) -> DataFrame:
+def band_edges(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(key, a, b): texts that agree in a band, each with the next one."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +122,9 @@ def band_edges(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for node, body in zip(node_of(batch.column(0)), batch.column(1)):
-                tokens = shingles(body.as_py())
+                tokens = shingles(body.as_py(), shingle)
                 if len(tokens):
-                    keys.append(band_keys(tokens).view(np.int64))
+                    keys.append(band_keys(tokens, percent).view(np.int64))
                     nodes.append(np.full(len(keys[-1]), node))
                     held += len(keys[-1])
                 if held >= CHAINED:
@@ -152,7 +153,7 @@ def band_edges(texts: DataFrame) -> DataFrame:
     return written(edges.select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b"), "band-edges")
 
 
-def candidates_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def candidates_of(texts: DataFrame, pairs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(node, size, sketch, body) of the texts in pairs, written."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     numbered = texts.select("digest", F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("node"))
@@ -160,7 +161,7 @@ def candidates_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(body.as_py()) for body in batch.column(1)]
+            sets = [shingles(body.as_py(), shingle) for body in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch_of(s) for s in sets], pa.binary()), batch.column(1)],
                 ["node", "size", "sketch", "body"])
@@ -175,7 +176,7 @@ def beside(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
-def close_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def close_pairs(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, distance) of the pairs that sizes and sketches allow to link."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,14 +184,14 @@ def close_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             sizes = [batch.column(name).to_numpy() for name in ("a_size", "b_size")]
             left, right = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64) for name in ("a_sketch", "b_sketch"))
             distance = np.bitwise_count(left ^ right).sum(axis=1).astype(np.int64)
-            near = np.maximum(distance, abs(sizes[0] - sizes[1])) <= most_different(*sizes)
+            near = np.maximum(distance, abs(sizes[0] - sizes[1])) <= most_different(*sizes, percent)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(k).to_numpy()[near]) for k in (0, 1)] + [pa.array(distance[near])], ["a", "b", "distance"])
 
     both = beside(pairs.select("a", "b"), nodes, ["size", "sketch"])
     return both.select("a", "b", "a_size", "b_size", "a_sketch", "b_sketch").mapInArrow(keep, "a long, b long, distance long")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(a, b) of the pairs whose shingles make a link."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +200,10 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             for a, left, b, right in zip(*[batch.column(name) for name in ("a", "a_body", "b", "b_body")]):
                 for node, body in ((a.as_py(), left), (b.as_py(), right)):
                     if node not in known:
-                        known[node] = shingles(body.as_py())
+                        known[node] = shingles(body.as_py(), shingle)
                 one, other = known[a.as_py()], known[b.as_py()]
                 common = len(np.intersect1d(one, other, assume_unique=True))
-                linked.append(100 * common >= PERCENT * (len(one) + len(other) - common))
+                linked.append(100 * common >= percent * (len(one) + len(other) - common))
             linked = np.array(linked, bool)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(name).to_numpy()[linked]) for name in ("a", "b")], ["a", "b"])
 
@@ -216,7 +217,7 @@ def labelled(frame: DataFrame, labels: DataFrame, ends: list[str]) -> DataFrame:
     return frame
 
 
-def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame, forest: bool) -> DataFrame:
+def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame, forest: bool, percent: int = PERCENT) -> DataFrame:
     """(a, b) across components that agree in a band whose chain met two components, and may link.
 
     With ``forest`` a group gives only as many pairs as join its components, nearest first. A band's members are dealt into blocks; each pair of blocks is compared in one group of at most
@@ -246,12 +247,12 @@ def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame, forest: bo
                 for at in range(first, last - 1):
                     rest = slice(at + 1, last)
                     near = label[rest] != label[at]
-                    near &= abs(size[rest] - size[at]) <= most_different(size[rest], size[at])
+                    near &= abs(size[rest] - size[at]) <= most_different(size[rest], size[at], percent)
                     if low[first] != high[first]:
                         near &= own[rest] != own[at]
                     where = np.flatnonzero(near) + at + 1
                     distance = np.bitwise_count(sketch[where] ^ sketch[at]).sum(axis=1)
-                    close = distance <= most_different(size[where], size[at])
+                    close = distance <= most_different(size[where], size[at], percent)
                     where = where[close]
                     if forest and len(where):
                         where = where[np.argsort(distance[close], kind="stable")]
@@ -278,33 +279,33 @@ def open_pairs(edges: DataFrame, labels: DataFrame, nodes: DataFrame, forest: bo
     return grouped.select("key", "low", "high", "own", "node", "label", "size", "sketch").mapInArrow(compare, "a long, b long").distinct()
 
 
-def linked_texts(texts: DataFrame) -> DataFrame:
+def linked_texts(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(node, label) of all texts that link with another one."""
-    edges = band_edges(texts)
+    edges = band_edges(texts, shingle, percent)
     pairs = written(edges.select("a", "b").distinct(), "pairs")
-    nodes = candidates_of(texts, pairs)
-    near = written(close_pairs(pairs, nodes), "near")
+    nodes = candidates_of(texts, pairs, shingle)
+    near = written(close_pairs(pairs, nodes, percent), "near")
     both = near.select(F.explode(F.array("a", "b")).alias("node"), F.struct("distance", "a", "b").alias("pair"))
     nearest = written(both.groupBy("node").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b").distinct(), "nearest")
-    links = verified(nearest, nodes)
+    links = verified(nearest, nodes, shingle, percent)
     labels = components(links)
     across = labelled(near, labels, ["a", "b"]).filter("a_label <> b_label").select("a", "b").join(nearest, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(across, nodes))
+    links = links.unionByName(verified(across, nodes, shingle, percent))
     # First what would join the components of open bands, then whatever is still across components.
     for forest in (True, False):
         labels = components(links)
-        missed = written(open_pairs(edges, labels, nodes, forest).join(pairs, ["a", "b"], "left_anti"), "missed")
-        links, pairs = links.unionByName(verified(missed, nodes)), pairs.unionByName(missed)
+        missed = written(open_pairs(edges, labels, nodes, forest, percent).join(pairs, ["a", "b"], "left_anti"), "missed")
+        links, pairs = links.unionByName(verified(missed, nodes, shingle, percent)), pairs.unionByName(missed)
     return components(links)
 
 
-def per_text(texts: DataFrame) -> DataFrame:
+def per_text(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(digest, first_doc, n_shingles, label, component) of every text; component is the smallest id of its component."""
-    labels = linked_texts(texts)
+    labels = linked_texts(texts, shingle, percent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pa.array([len(shingles(body.as_py())) for body in batch.column(2)], pa.int64())
+            sizes = pa.array([len(shingles(body.as_py(), shingle)) for body in batch.column(2)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node_of(batch.column(0))), sizes], ["digest", "first_doc", "node", "n_shingles"])
 
     sized = written(texts.select("digest", "first_doc", "body").mapInArrow(count, "digest binary, first_doc long, node long, n_shingles long"), "sizes")
@@ -313,21 +314,21 @@ def per_text(texts: DataFrame) -> DataFrame:
     return known.join(written(least, "components"), "label").select("digest", "first_doc", "n_shingles", "label", "component")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    found = by_document(docs, per_text(distinct_texts(docs)))
+    found = by_document(docs, per_text(distinct_texts(docs), shingle, percent))
     own = F.col("row.doc_id").cast("long")
     return found.select("row.doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, own).otherwise(F.nullif(F.col("component"), F.lit(LAST))).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component of ``docs``: that of the smallest id; a text without words stays.
 
     Of repeated rows with one id and text one stays. Rows without an id stay only where no linked row has one.
     """
     texts = distinct_texts(docs.select("doc_id", "text"))
-    found = by_document(docs, per_text(texts))
+    found = by_document(docs, per_text(texts, shingle, percent))
     number = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST))
     stays = found.filter((F.col("n_shingles") == 0) | (number == F.col("component")))
     # Several rows of a component are left only if rows repeat an id or have none.

@@ -74,4 +74,4 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_ngram_jaccard_join", oracle.JACCARD)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return parity_join.report(documents(spark, folder))
+    return parity_join.report(documents(spark, folder), shingle=4, percent=85)
