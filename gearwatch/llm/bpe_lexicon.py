@@ -356,7 +356,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     return made.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-def records(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, source, n_tokens and the ids of every document (doc_id, source, text)."""
-    made = encoded(docs.select("doc_id", "source", "text"), path, {"n_tokens": token_count, "ids": token_ids}, "n_tokens long, ids array<int>")
-    return made.select("row.doc_id", "row.source", "n_tokens", "ids")
+def records(docs: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, the ``carried`` columns, n_tokens and the ids of every document (doc_id, source, text)."""
+    made = encoded(docs.select("doc_id", "source", "text", *carried), path, {"n_tokens": token_count, "ids": token_ids}, "n_tokens long, ids array<int>")
+    return made.select("row.doc_id", "row.source", *[f"row.{c}" for c in carried], "n_tokens", "ids")

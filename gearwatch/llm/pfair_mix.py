@@ -84,10 +84,13 @@ def numbered(docs: DataFrame) -> DataFrame:
             .withColumn("_number", F.col("_number") + F.col("_before")).drop("_cell", "_before"))
 
 
-def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """``docs`` (doc_id, source, text, ...) with _block, _release, _deadline, _slot, _position and _in_mix."""
+def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS, tie: Column | None = None) -> DataFrame:
+    """``docs`` (doc_id, source, text, ...) with _block, _release, _deadline, _slot, _position and _in_mix.
+
+    Where ``docs`` has no text any more, ``tie`` is the hash of it, by which equal ids are ordered.
+    """
     # The row travels as one column, so its own names cannot clash with those used here.
-    keyed = docs.select(F.struct("*").alias("row"), "doc_id", source_key(F.col("source")).alias("_key"), F.xxhash64("text").alias("_hash"))
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", source_key(F.col("source")).alias("_key"), (F.xxhash64("text") if tie is None else tie).alias("_hash"))
     counts = docs.groupBy(source_key(F.col("source")).alias("key")).agg(F.count("*").alias("rows"))
     parts = written(shares(counts, weights, period), "mix-shares")
     # One row per slot of a period: at most 1,000 and one for each source.
@@ -111,6 +114,16 @@ def report(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFram
     return placed(docs.select("doc_id", "source", "text"), weights).select("doc_id", "source", *[F.col(f"_{n}").alias(n) for n in names])
 
 
+def with_positions(docs: DataFrame, tie: str, weights: dict[str, float] | None = None) -> DataFrame:
+    """``docs`` (doc_id, source, ``tie``, ...) with position and in_mix behind the source, without ``tie``.
+
+    Sorted by position, each beginning of the rows with in_mix has the sources' target weights, whatever
+    order the rows are stored in. Positions are distinct; a source's last block may leave some out.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "source", tie)]
+    return placed(docs, weights, tie=F.col(tie)).select("doc_id", "source", F.col("_position").alias("position"), F.col("_in_mix").alias("in_mix"), *rest)
+
+
 def in_schedule_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """All of ``docs``, in the order of the schedule: written files follow one another in it."""
     packed = docs.select(F.struct("*").alias("packed"), "doc_id", "source", "text")
