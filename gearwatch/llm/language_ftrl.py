@@ -2,10 +2,11 @@
 
 Features are hashed runs of one to three characters of the lower-cased text, with a blank before
 and after it. Document frequencies are counted over all documents that may be learned from. The
-weights are fitted on a documented, bounded sample of them: every round each shard of the sample is
-passed once by the follow-the-regularised-leader update with elastic-net penalties, and the shards'
+weights are fitted on a documented, bounded sample of them: about ``SAMPLE_ROWS`` rows in the languages'
+own shares, and of each language at least about ``LEAST_ROWS``, or all its rows if it has fewer. The
+draw is the same rule at every size of the input. Every round each shard of the sample is passed once by the follow-the-regularised-leader update with elastic-net penalties, and the shards'
 states are averaged. A temperature is then fitted to held-back rows of the sample, so scores are
-calibrated chances. State and weights have ``FEATURES`` times the number of languages cells.
+calibrated chances, of a mix like the sample's, where rare languages count for more. State and weights have ``FEATURES`` times the number of languages cells.
 
 Defined cases: a null text and a text without a letter are ``und`` with score 0; so is every text
 when nothing can be learned. Of equally likely languages the first by name wins. Rows with a null
@@ -21,15 +22,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gearwatch.llm.common import by_value, written
+from gearwatch.llm.common import LAST, by_value, written
 
 by_value(__name__)
 
 FEATURES = 1 << 15
 LONGEST = 3
 FOLDS = 5
-#: Rows that the weights are fitted on, on average; a tenth of them is held back for the temperature.
-SAMPLE_ROWS = 6000
+#: Rows that the weights are fitted on, on average, and those of a language at least; a tenth of them is held back for the temperature.
+SAMPLE_ROWS, LEAST_ROWS = 6000, 500
 SHARDS, ROUNDS = 6, 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.05
 UNKNOWN = "und"
@@ -134,16 +135,29 @@ def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(min(np.geomspace(0.05, 5.0, 93), key=loss)) if len(labels) else 1.0
 
 
+def draw_limits(rows: dict[str, int], lowest: dict[str, int], sample_rows: int, least_rows: int) -> dict[str, int]:
+    """Up to which draw of 63 bits a row of a language is picked, from its rows and lowest draw: at least one row is."""
+    share = sample_rows / max(1, sum(rows.values()))
+    return {name: max(lowest[name], min(LAST, int(max(share, least_rows / n) * 2.0 ** 63))) for name, n in rows.items()}
+
+
+def drawn(usable: DataFrame, sample_rows: int = SAMPLE_ROWS, least_rows: int = LEAST_ROWS) -> tuple[list[str], DataFrame]:
+    """The languages by name, and the rows (doc_id, text, lang) that the weights are fitted on."""
+    usable = usable.withColumn("draw", F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id", "text"), 1))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("lowest")).collect()  # one row per language
+    limits = draw_limits({r["lang"]: r["n"] for r in counts}, {r["lang"]: r["lowest"] for r in counts}, sample_rows, least_rows)
+    limit = F.create_map(*[F.lit(part) for item in limits.items() for part in item])
+    return sorted(limits), usable.filter(F.col("draw") <= limit[F.col("lang")]).drop("draw")
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
     """The model from rows (doc_id, text, lang) outside the held-out fold, or None when there are none."""
     usable = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     frequencies, rows = document_frequencies(usable)
     if not rows:
         return None
-    names = sorted(row[0] for row in usable.select("lang").distinct().collect())
+    names, picked = drawn(usable, sample_rows)
     idf = np.log((1 + rows) / (1 + frequencies)) + 1
-    place = F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(1_000_000))
-    picked = usable.filter(place < int(1_000_000 * min(1.0, sample_rows / rows)))
 
     def prepare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -152,6 +166,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict | None:
 
     shard = F.pmod(F.xxhash64(F.lit(6), "doc_id", "text"), F.lit(SHARDS * 10)).cast("int")
     sample = written(picked.select("text", "lang", shard.alias("shard")).mapInPandas(prepare, "shard int, class int, cells array<int>, counts array<long>"), "language-sample")
+    if sample.isEmpty():
+        raise ValueError(f"the sample of {rows} labelled rows is empty")
     held_back = sample.filter(f"shard >= {SHARDS * 9}")
     weights = fit(sample.filter(f"shard < {SHARDS * 9}").withColumn("shard", F.col("shard") % SHARDS), len(names), idf)
 
