@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from gearwatch.session import scratch_folder
 
@@ -65,3 +65,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """``df`` with each row's place in ``order``, from 0, in the new column ``name``.
+
+    The rows are sorted by sampled ranges and written, so no value, however frequent or far away,
+    brings unrelated rows together. A row's place is its place in its file behind the files before
+    it: one row per file is summed up and broadcast, and there are no more files than partitions of
+    the shuffle. The files are fixed, so a retried task gives the same places.
+    """
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, label)
+    df.sort(*order).write.parquet(path, compression="zstd")
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    placed = spark.read.schema(df.schema).parquet(path).select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_size")).select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")

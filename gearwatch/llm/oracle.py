@@ -94,3 +94,42 @@ timed AS (SELECT d.*, slots, number // 8 AS block, (number // 8) % slots AS nth,
 SELECT doc_id, source, block, CAST(start + floor(t.nth * period / slots) AS BIGINT) AS release, CAST(start + ceil((t.nth + 1) * period / slots) AS BIGINT) AS deadline,
   start + pos AS slot, (start + pos) * 8 + number % 8 AS position, start + pos < horizon AS in_mix
 FROM timed t JOIN plan p ON p.key = t.key AND p.nth = t.nth"""
+
+
+def clusters(centroids: int = 8, rounds: int = 10, dimensions: int = 64, scale: int = 1024, salt: str = "3") -> str:
+    """All exact distances in every round, without bounds."""
+
+    def assigned(number: int) -> str:
+        return f"""a{number} AS MATERIALIZED (SELECT row, vec_id, e, k, distance FROM (
+  SELECT v.row, v.vec_id, v.e, c.k, list_sum(list_transform(list_zip(v.e, c.m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance FROM points v, c{number} c)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, k) = 1)"""
+
+    def moved(number: int) -> str:
+        return f"""c{number + 1} AS MATERIALIZED (SELECT c.k, coalesce(g.m, c.m) AS m FROM c{number} c LEFT JOIN (
+  SELECT k, list(m ORDER BY d) AS m FROM (SELECT k, d, ((sum(e[d]) - ((sum(e[d]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM a{number}, range(1, {dimensions + 1}) r(d) GROUP BY k, d) GROUP BY k) g USING (k))"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(rounds))
+    return f"""WITH points AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS k, e AS m FROM (SELECT e, sha256('{salt}:' || vec_id) AS h FROM points ORDER BY h LIMIT {centroids})),
+{steps},
+{assigned(rounds)}
+SELECT vec_id, k::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (k)"""
+
+
+VARIANTS = f"""WITH RECURSIVE halves AS (SELECT b, list_reduce(list_prepend(b::BIGINT, range(0, 8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(0, 256) r(b)),
+bits AS (SELECT list(t ORDER BY b) AS tab FROM halves),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{UPPER}', '{LOWER}') AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT *, list_transform(range(0, strlen(doc_id || ':' || run)), lambda i: ('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i::INT + 1, 2))::BIGINT) AS b FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, bits),
+drawn AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+vocabulary AS (SELECT word, sum(n)::BIGINT AS n FROM drawn WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (SELECT word, n, left(word, i::INT) || '*' || substr(word, i::INT + 2) AS hole, left(word, i::INT) || substr(word, i::INT + 2) AS short FROM vocabulary, unnest(range(0, length(word))) r(i)),
+near AS (SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT h.word, v.word, v.n FROM holes h JOIN vocabulary v ON v.word = h.short UNION SELECT v.word, h.word, h.n FROM holes h JOIN vocabulary v ON v.word = h.short),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form, CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n FROM vocabulary v LEFT JOIN best b USING (word)),
+walk AS (SELECT word, word AS at FROM formed UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN walk w ON w.word = f.word JOIN formed e ON e.word = w.at WHERE e.form IS NULL"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearwatch.llm import bottom_k, bpe_lexicon, induced_sorting, language_ftrl, license_join, oracle, parity_join, pfair_mix, quality_cascade, suffix_trees, url_markov
+from gearwatch.llm import (bottom_k, bpe_lexicon, induced_sorting, laesa, language_ftrl, license_join, oracle, parity_join, permuterm, pfair_mix,
+                           quality_cascade, style_tree, suffix_trees, url_markov)
 from gearwatch.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,18 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_ngram_jaccard_join", oracle.JACCARD)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.report(documents(spark, folder), shingle=4, percent=85)
+
+
+@query("op11_centroid_clustering", oracle.clusters())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return laesa.report(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op12_spelling_variants", oracle.VARIANTS)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return permuterm.report(documents(spark, folder))
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return style_tree.report(spark.read.parquet(f"{folder}/pages.parquet"))
