@@ -18,8 +18,9 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[
 
     Every wanted rank lies in a range of values, at first all of them. A pass estimates the values a
     little below and above the rank inside its range, a second one counts exactly how many values
-    are smaller and how many are not larger, and the range shrinks to a thousandth of its rows,
-    infinities and any scale included: N rows take log N / log 1000 rounds. Ranges of at most
+    are below and at both estimates. The rank is one of them, or the range becomes what lies strictly
+    between them (or beyond one), so every round leaves out the values estimated, however many rows
+    share them, and as a rule leaves a thousandth of the rows. Ranges of at most
     ``GATHERED`` values are read and sorted. The columns are written once, and no larger part of
     them is sorted or gathered.
     """
@@ -42,19 +43,20 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[
             break
         guesses = values.agg(*[F.percentile_approx(inside(t), [max(0.0, p - 1 / STEPS), min(1.0, p + 1 / STEPS)], ACCURACY)
                                for t in large for p in [(t[1] - ranges[t][2]) / ranges[t][3]]]).first()
-        counts = values.agg(*[m for t, (a, b) in zip(large, guesses) for m in (F.count_if(F.col(t[0]) < a), F.count_if(F.col(t[0]) <= b))]).first()
+        counts = values.agg(*[F.count_if(met) for t, (a, b) in zip(large, guesses)
+                              for met in (F.col(t[0]) < a, F.col(t[0]) <= a, F.col(t[0]) < b, F.col(t[0]) <= b)]).first()
         for i, target in enumerate(large):
             (low, high, below, rows), (a, b), n = ranges[target], guesses[i], target[1]
-            smaller, not_larger = counts[2 * i:2 * i + 2]
-            if n <= smaller:  # a miss of the estimate: go on in the part that holds the rank
-                ranges[target] = (low, math.nextafter(a, -math.inf), below, smaller - below)
-            elif n > not_larger:
-                ranges[target] = (math.nextafter(b, math.inf), high, not_larger, below + rows - not_larger)
-            elif a == b:
-                found[target] = a
+            under_a, to_a, under_b, to_b = counts[4 * i:4 * i + 4]
+            if n <= under_a:  # a miss of the estimate: go on in the part that holds the rank
+                ranges[target] = (low, math.nextafter(a, -math.inf), below, under_a - below)
+            elif n <= to_a or under_b < n <= to_b:
+                found[target] = a if n <= to_a else b
                 del ranges[target]
+            elif n <= under_b:
+                ranges[target] = (math.nextafter(a, math.inf), math.nextafter(b, -math.inf), to_a, under_b - to_a)
             else:
-                ranges[target] = (a, b, smaller, not_larger - smaller)
+                ranges[target] = (math.nextafter(b, math.inf), high, to_b, below + rows - to_b)
     if ranges:
         targets = list(ranges)
         lists = values.agg(*[F.sort_array(F.collect_list(inside(t))) for t in targets]).first()

@@ -135,6 +135,19 @@ def _scale(value: str) -> str:
     return f"sign({value}) * (300 + log10(abs({value})))"
 
 
+_TIED = {"halves": "CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE 2.0 END", "one_value": "7.0", "mostly_zero": "CASE WHEN event_id % 50 = 0 THEN event_id / 8.0 ELSE 0.0 END", "whole": "user_id",
+         "quarters": "event_id % 4"}
+
+
+@checks.add("profile_ties", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS column_name, count(v) AS non_null, min(v) AS min, {r6('quantile_cont(v, 0.25)')} AS q25, {r6('quantile_cont(v, 0.5)')} AS q50, {r6('quantile_cont(v, 0.75)')} AS q75, max(v) AS max "
+    f"FROM (SELECT CAST({expression} AS DOUBLE) AS v FROM events)" for name, expression in _TIED.items()))
+def profile_ties(spark, folder):
+    """Columns of few values, with quartiles between two of them."""
+    rows = spark.read.parquet(f"{folder}/events.parquet").selectExpr(*[f"CAST({expression} AS DOUBLE) AS {name}" for name, expression in _TIED.items()])
+    return column_profile(rows, list(_TIED)).select("column_name", "non_null", "min", "q25", "q50", "q75", "max")
+
+
 @checks.add("profile_extremes", f"""SELECT count(v) AS non_null, min(v) AS low, max(v) AS high, {r6(_scale("quantile_disc(v, 0.25)"))} AS near_q25, {r6(_scale("median(v)"))} AS q50
 FROM (SELECT {_SPREAD} AS v FROM events)""")
 def profile_extremes(spark, folder):

@@ -200,3 +200,12 @@ def test_profile_of_extreme_values(spark, monkeypatch):
         assert found == {(c, n): truth[c][n - 1] for c in "ab" for n in wanted[c]}
     row = profile.column_profile(frame.select("a"), ["a"]).first()
     assert (row.min, row.max, row.q50) == (-np.inf, np.inf, float(np.median(values)))
+
+
+@pytest.mark.parametrize("values", [[1.0] * 50 + [2.0] * 50, [2.0] * 101, [0.0] * 90 + [float(i) for i in range(10)], [float(i // 25) for i in range(100)], [-np.inf] * 30 + [np.inf] * 30])
+def test_ranks_at_the_border_of_equal_values(spark, monkeypatch, values):
+    from gearwatch.operators import profile
+    monkeypatch.setattr(profile, "GATHERED", 2)
+    wanted = [1, 2, len(values) // 4, len(values) // 2, len(values) // 2 + 1, len(values) - 1, len(values)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert profile.order_statistics(frame, {"v": wanted}) == {("v", n): sorted(values)[n - 1] for n in wanted}
