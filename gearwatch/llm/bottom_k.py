@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from gearwatch.llm.common import let, positions, split_words
+from gearwatch.llm.common import let, positions, ranked, split_words, written
+from gearwatch.operators.skew import broadcast_if_small
 
 SHINGLE = 5
 SIZE = 64
-#: Documents in a range of ids that is ordered together, on average, and the most such ranges.
-RANGE_ROWS, MOST_RANGES = 512, 100_000
+#: Most documents of a range of ids, ordered together, unless ids repeat; and the bits that the smallest ranges leave out.
+RANGE_ROWS, LEAST_SHIFT = 1024, 4
 
 
 def sketch(text: Column, size: int = SIZE, shingle: int = SHINGLE) -> Column:
@@ -70,22 +71,34 @@ def group_sketches(docs: DataFrame, key: str, size: int = SIZE) -> DataFrame:
     return hashes.withColumn("rank", rank).filter(F.col("rank") <= size).groupBy(key).agg(F.array_sort(F.collect_list("hash")).alias("sketch"))
 
 
+def range_shift(docs: DataFrame) -> int:
+    """The most low bits of the ids that can be left out so that no range of ids holds more than ``RANGE_ROWS`` rows.
+
+    Found by halving over the counts of small ranges, so neither far ids nor gaps widen the ranges.
+    """
+    counts = written(docs.groupBy(F.shiftright("doc_id", LEAST_SHIFT).alias("cell")).agg(F.count("*").alias("rows")), "id-ranges")
+    low, high = LEAST_SHIFT, 63
+    while low < high:
+        middle = (low + high + 1) // 2
+        most = counts.groupBy(F.shiftright("cell", middle - LEAST_SHIFT)).agg(F.sum("rows").alias("rows")).agg(F.max("rows")).first()[0] or 0
+        low, high = (middle, high) if most <= RANGE_ROWS else (low, middle - 1)
+    return low
+
+
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """Rows (doc_id, text, hash, carried) with the ``carried`` columns of the document with the next smaller id.
 
     The last one gets those of the first. Ids are cut into ranges; each range is ordered by itself
-    and also gets the head of the next range. There are at most ``MOST_RANGES`` heads, so their ids
-    may be broadcast, while texts go through one shuffle.
+    and also gets the head of the next range, so texts go through one shuffle. The heads' ids are
+    broadcast if a count shows that they are few; else finding the heads takes a second shuffle.
     """
-    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    ranges = max(1, min(MOST_RANGES, rows // RANGE_ROWS))
-    width = 1 if low is None else (high - low) // ranges + 1
-    number = F.coalesce(F.expr(f"(doc_id - {low or 0}L) div {width}L"), F.lit(-1)).cast("long")
-    ranged = docs.withColumn("range", number)
-    by_range = W.orderBy(F.desc("range"))  # at most MOST_RANGES + 1 rows
-    heads = docs.select(number.alias("range"), "doc_id").groupBy("range").agg(F.max("doc_id").alias("head"))
-    heads = heads.select("head", F.coalesce(F.lag("range").over(by_range), F.min("range").over(W.partitionBy())).alias("before"))
-    copies = ranged.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head"))).withColumn("range", F.col("before")).drop("head", "before")
+    ranged = docs.withColumn("range", F.shiftright("doc_id", range_shift(docs)))
+    heads = ranged.groupBy("range").agg(F.max("doc_id").alias("head"))
+    ordered = written(ranked(heads, [F.desc_nulls_last("range")], "place", "range-heads"), "range-heads")
+    count = ordered.count()
+    before = ordered.select(F.expr(f"(place + 1) % {max(1, count)}L").alias("place"), F.col("range").alias("before"))
+    few, _ = broadcast_if_small(ordered.join(before, "place").select("head", "before"))
+    copies = ranged.join(few, F.col("doc_id").eqNullSafe(F.col("head"))).withColumn("range", F.col("before")).drop("head", "before")
     order = W.partitionBy("range").orderBy("copy", F.desc_nulls_last("doc_id"), "hash")
     both = ranged.withColumn("copy", F.lit(0)).unionByName(copies.withColumn("copy", F.lit(1)))
     return both.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carried]).filter("copy = 0").drop("copy", "range")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -40,10 +41,59 @@ def positions(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
 
+#: Folders and catalog tables made inside ``noted``, or None outside of it.
+_noted: list[tuple[str, str | None]] | None = None
+
+
+@contextmanager
+def noted() -> Iterator[list[tuple[str, str | None]]]:
+    """The folders and tables that operators write in the meantime, for ``drop``."""
+    global _noted
+    before, _noted = _noted, []
+    try:
+        yield _noted
+    finally:
+        _noted = before
+
+
+def new_folder(spark: SparkSession, label: str, table: str | None = None) -> str:
+    path = scratch_folder(spark, label)
+    if _noted is not None:
+        _noted.append((path, table))
+    return path
+
+
+def drop(spark: SparkSession, made: list[tuple[str, str | None]]) -> None:
+    """Remove noted folders and tables. Whatever was made of them has to be written before."""
+    while made:
+        path, table = made.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Bytes of an Arrow batch while scratch tables are written: each running task holds some batches, in the JVM and in Python.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``BATCH_BYTES`` for what runs in the meantime; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared scratch folder and read back: cuts lineage, survives lost executors."""
-    path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path, compression="zstd")
+    path = new_folder(df.sparkSession, label)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -55,7 +105,8 @@ def written_by(grouped: DataFrame, key: str, label: str) -> DataFrame:
     """
     spark = grouped.sparkSession
     name, buckets = f"{label}_{uuid.uuid4().hex}", shuffle_partitions(spark)
-    grouped.write.bucketBy(buckets, key).options(path=scratch_folder(spark, label), compression="zstd").format("parquet").saveAsTable(name)
+    with small_batches(spark):
+        grouped.write.bucketBy(buckets, key).options(path=new_folder(spark, label, name), compression="zstd").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -75,8 +126,9 @@ def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFra
     it: one row per file is summed up and broadcast, and there are no more files than partitions of
     the shuffle. The files are fixed, so a retried task gives the same places.
     """
-    spark, path = df.sparkSession, scratch_folder(df.sparkSession, label)
-    df.sort(*order).write.parquet(path, compression="zstd")
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    with small_batches(spark):
+        df.sort(*order).write.parquet(path, compression="zstd")
     part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
     placed = spark.read.schema(df.schema).parquet(path).select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

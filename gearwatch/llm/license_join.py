@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gearwatch.llm.common import by_value
@@ -113,7 +114,8 @@ def document_frequencies(docs: DataFrame, templates: dict[str, str] = TEMPLATES)
         for frame in frames:
             for text in frame["text"]:
                 seen.update(wanted.intersection(words_of(text)))
-        yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
+        if seen:  # columns of no values have no type of their own
+            yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
 
     rows = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     return {row["word"].encode(): row["n"] for row in rows}
@@ -143,14 +145,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
                 ",".join(sorted(base)), ",".join(sorted(labels)), score)
 
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = pd.DataFrame([look(text) for text in frame["text"]], columns=names, index=frame.index)
-            for name in names[:4]:
-                found[name] = found[name].astype("Int64")
-            yield pd.concat([frame[["doc_id"]].astype("Int64"), found], axis=1)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [look(text.as_py()) for text in batch["text"]]
+            columns = list(zip(*found)) or [()] * len(names)
+            yield pa.record_batch([batch["doc_id"], *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         rows, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")

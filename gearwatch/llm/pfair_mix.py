@@ -22,12 +22,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from gearwatch.llm.common import let, written
+from gearwatch.llm.common import let, ranked, written
 
 PERIOD = 1000
 BLOCK_DOCS = 8
-#: Documents of a range of ids that is numbered together, on average, and the most such ranges.
-RANGE_ROWS, MOST_RANGES = 512, 100_000
 
 
 def source_key(source: Column) -> Column:
@@ -70,18 +68,12 @@ def timetable(parts: DataFrame) -> DataFrame:
     return named.withColumn("nth", F.row_number().over(W.partitionBy("key").orderBy("slot")) - 1)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with their number in their source, from 0. A source is numbered in many ranges of ids at once."""
-    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    ranges = max(1, min(MOST_RANGES, rows // RANGE_ROWS))
-    width = 1 if low is None else (high - low) // ranges + 1
-    cells = docs.withColumn("_cell", F.coalesce(F.expr(f"(doc_id - {low or 0}L) div {width}L"), F.lit(MOST_RANGES + 1)).cast("long"))
-    before = W.partitionBy("_key").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)  # at most MOST_RANGES + 2 rows
-    offsets = cells.groupBy("_key", "_cell").agg(F.count("*").alias("_size")).select(
-        "_key", "_cell", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = W.partitionBy("_key", "_cell").orderBy(F.asc_nulls_last("doc_id"), "_hash")
-    return (cells.withColumn("_number", F.row_number().over(inside) - 1).join(offsets, ["_key", "_cell"])
-            .withColumn("_number", F.col("_number") + F.col("_before")).drop("_cell", "_before"))
+def numbered(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``docs`` with their number in their source, from 0: their place in the order of all rows behind the sources before."""
+    before = W.orderBy("key").rowsBetween(W.unboundedPreceding, -1)  # one row per source
+    starts = parts.select(F.col("key").alias("_key"), F.col("slots").alias("_slots"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_start"))
+    placed = ranked(docs, [F.col("_key"), F.asc_nulls_last("doc_id"), F.col("_hash")], "_place", "mix-order")
+    return placed.join(F.broadcast(starts), "_key").withColumn("_number", F.col("_place") - F.col("_start")).drop("_place", "_start")
 
 
 def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS, tie: Column | None = None) -> DataFrame:
@@ -97,8 +89,7 @@ def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int
     table = written(timetable(parts), "mix-timetable")
     ends = parts.withColumn("missing", F.expr(f"(rows + {block_docs - 1}) div {block_docs}L")).join(F.broadcast(table), ["key", "slots"]).filter("missing % slots = nth")
     horizon = ends.agg(F.min(F.expr("(missing div slots) * period + slot"))).first()[0] or 0
-    timed = (numbered(keyed).withColumn("_block", F.expr(f"_number div {block_docs}L"))
-             .join(F.broadcast(parts.select(F.col("key").alias("_key"), F.col("slots").alias("_slots"))), "_key")
+    timed = (numbered(keyed, parts).withColumn("_block", F.expr(f"_number div {block_docs}L"))
              .withColumn("_nth", F.expr("_block % _slots")).withColumn("_cycle", F.expr("_block div _slots"))
              .join(F.broadcast(table.select(F.col("key").alias("_key"), F.col("nth").cast("long").alias("_nth"), F.col("slot").alias("_at"), F.col("period").alias("_period"))), ["_key", "_nth"]))
     start = F.col("_cycle") * F.col("_period")
@@ -111,17 +102,17 @@ def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int
 def report(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """doc_id, source, block, release, deadline, slot, position and in_mix of every document."""
     names = ["block", "release", "deadline", "slot", "position", "in_mix"]
-    return placed(docs.select("doc_id", "source", "text"), weights).select("doc_id", "source", *[F.col(f"_{n}").alias(n) for n in names])
+    slim = docs.select("doc_id", "source", F.xxhash64("text").alias("hash"))
+    return placed(slim, weights, tie=F.col("hash")).select("doc_id", "source", *[F.col(f"_{n}").alias(n) for n in names])
 
 
-def with_positions(docs: DataFrame, tie: str, weights: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` (doc_id, source, ``tie``, ...) with position and in_mix behind the source, without ``tie``.
+def with_positions(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """``docs`` with their position and in_mix.
 
     Sorted by position, each beginning of the rows with in_mix has the sources' target weights, whatever
     order the rows are stored in. Positions are distinct; a source's last block may leave some out.
     """
-    rest = [c for c in docs.columns if c not in ("doc_id", "source", tie)]
-    return placed(docs, weights, tie=F.col(tie)).select("doc_id", "source", F.col("_position").alias("position"), F.col("_in_mix").alias("in_mix"), *rest)
+    return placed(docs, weights).select(*docs.columns, F.col("_position").alias("position"), F.col("_in_mix").alias("in_mix"))
 
 
 def in_schedule_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

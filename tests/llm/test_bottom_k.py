@@ -47,9 +47,11 @@ def test_report_equals_plain_fingerprints(spark):
 
 def test_ranges_follow_one_another(spark, monkeypatch):
     """The same neighbours with many ranges of ids, gaps, repeated and missing ids."""
-    rows = odd_rows(corpus(6)) + [(10**12, "far away"), (10**12 + 5, "x y z")]
+    rows = odd_rows(corpus(6)) + [(10**12, "far away"), (10**12 + 5, "x y z"), (9 * 10**18, "the highest"), (-9 * 10**18, "the lowest"), (2**62, "between")]
     one = sorted(map(tuple, B.report(table(spark, rows)).collect()), key=repr)
     monkeypatch.setattr(B, "RANGE_ROWS", 3)
+    monkeypatch.setattr(B, "LEAST_SHIFT", 1)
+    assert B.range_shift(table(spark, rows)) == 1
     assert sorted(map(tuple, B.report(table(spark, rows)).collect()), key=repr) == one
     assert len(one) == len(rows)
 
@@ -80,3 +82,12 @@ def test_group_sketches_and_empty_table(spark):
     assert B.report(docs.limit(0)).count() == 0
     only = B.report(table(spark, ["a b c d"])).first()
     assert only.near_next == 1.0 and only.edited_sha256 == sha("a b " + "a b")
+
+
+def test_far_ids_do_not_widen_the_ranges(spark):
+    ids = [*range(5000), 2**62, -9 * 10**18]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string").withColumn("hash", F.lit(1))
+    shift = B.range_shift(docs)
+    assert max(r["count"] for r in docs.groupBy(F.shiftright("doc_id", shift)).count().collect()) <= B.RANGE_ROWS and shift == 10
+    found = {r.doc_id: r.next_doc_id for r in B.with_next(docs, ["doc_id"]).collect()}
+    assert found == {2**62: 4999, **{i: i - 1 for i in range(1, 5000)}, 0: -9 * 10**18, -9 * 10**18: 2**62}

@@ -60,3 +60,10 @@ def test_whole_small_table_and_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert sorted(map(tuple, J.scan(docs).collect())) == sorted((r.doc_id, *plain(r.text)) for r in docs.collect())
     assert J.scan(docs.limit(0)).count() == 0
+
+
+def test_parts_without_template_words(spark):
+    rows = [(i, None if i % 2 else "") for i in range(20)] + [(2**62 + 1, "plain words"), (None, "MIT License"), (2**62 + 3, None)]
+    found = J.scan(table(spark, rows).repartition(60)).collect()
+    assert sorted([tuple(r) for r in found], key=repr) == sorted([(i, *plain(t)) for i, t in rows], key=repr)
+    assert {r.n_words for r in J.scan(table(spark, [None, ""])).collect()} == {0}

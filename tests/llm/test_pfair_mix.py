@@ -54,11 +54,9 @@ def test_given_weights(spark):
     assert first == {"a": 280, "b": 80, "c": 40}
 
 
-def test_numbers_do_not_depend_on_ranges(spark, monkeypatch):
-    docs = table(spark, odd_rows(corpus(8)))
-    one = sorted(map(tuple, M.report(docs).collect()), key=repr)
-    monkeypatch.setattr(M, "RANGE_ROWS", 2)
-    assert sorted(map(tuple, M.report(docs).collect()), key=repr) == one
+def test_numbers_follow_ids_however_far_apart(spark):
+    docs = table(spark, odd_rows(corpus(8)) + [(9 * 10**18, "the highest"), (-9 * 10**18, "the lowest"), (2**62, "between")])
+    assert sorted(map(tuple, M.report(docs).collect()), key=repr) == sorted(map(tuple, M.report(docs.repartition(60)).collect()), key=repr)
     by_source = defaultdict(list)
     for r in M.placed(docs).collect():
         by_source[r.source].append(((r.doc_id is None, r.doc_id), r._position))

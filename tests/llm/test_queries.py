@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gearwatch.llm import queries
+from gearwatch.llm import common, queries
 from tests.llm import test_parity_join, test_repeats
 from tests.llm.helpers import words
 
@@ -45,7 +45,7 @@ def stages(spark, folder):
     """Rows that went into each stage and came out of it, and the columns."""
     docs, found = spark.read.parquet(f"{folder}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
-        out = corpus_pipeline.written(stage(spark, docs, folder), name)
+        out = common.written(stage(spark, docs, folder), name)
         found[name] = docs.collect(), out.collect(), (docs.columns, out.columns)
         docs = out
     return found
