@@ -40,6 +40,8 @@ LEXICON_WORDS = 50_000
 SUMMARY_WORDS = 100_000
 #: Blank-separated pieces whose result a task keeps at hand, twice over, and length of a long word.
 CACHE, LONG_WORD = 200_000, 48
+#: Texts whose ids a task holds at a time when it makes records.
+RECORD_TEXTS = 250
 END = "</w>"
 
 # Unicode white space, and the pattern that cuts normalised text into words.
@@ -217,10 +219,10 @@ def words_of(piece: str) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes whole texts; results of pieces are kept at hand."""
+    """Encodes whole texts; results of pieces are kept at hand. Without ``decodes`` it gives ids only."""
 
-    def __init__(self, merges: Merges, lexicon: Lexicon | None = None) -> None:
-        self.merges, self.lexicon = merges, lexicon
+    def __init__(self, merges: Merges, lexicon: Lexicon | None = None, decodes: bool = True) -> None:
+        self.merges, self.lexicon, self.decodes = merges, lexicon, decodes
         self.cache: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}  # the cache before it was last full
         self.words: dict[bytes, tuple[int, str, str]] = {}
@@ -234,7 +236,7 @@ class Encoder:
                 ids = self.merges.merge(word)
             if len(self.words) >= CACHE:
                 self.words.clear()
-            known = self.words[word] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+            known = self.words[word] = len(ids), " ".join(map(str, ids)), self.decode(ids) if self.decodes else ""
         return known
 
     def piece(self, text: str) -> tuple[int, str, str]:
@@ -242,7 +244,7 @@ class Encoder:
         words = [self.word(word) for word in words_of(text)]
         if len(words) == 1:
             return words[0]
-        return sum(n for n, _, _ in words), " ".join([ids for _, ids, _ in words]), " ".join([tokens for _, _, tokens in words])
+        return sum(n for n, _, _ in words), " ".join([ids for _, ids, _ in words]), " ".join([tokens for _, _, tokens in words]) if self.decodes else ""
 
     def parts(self, text: str | None) -> list[tuple[int, str, str]]:
         if not text:
@@ -314,10 +316,11 @@ def shipped(spark: SparkSession, content: bytes) -> str:
     return name
 
 
-def encoded(docs: DataFrame, path: str, result: dict, schema: str, limit: int = LEXICON_WORDS) -> DataFrame:
+def encoded(docs: DataFrame, path: str, result: dict, schema: str, limit: int = LEXICON_WORDS, decodes: bool = True, step: int | None = None) -> DataFrame:
     """All columns of ``docs`` (text, ...) as ``row``, and columns of ``schema`` made by the functions of ``result``.
 
-    Each function gets an encoder's parts of a text and returns one value.
+    Each function gets an encoder's parts of a text and returns one value. Results leave a task for
+    every ``step`` texts, or for every batch.
     """
     spark, merges = docs.sparkSession, Merges(path)
     lexicon = shipped(spark, compile_lexicon((word, merges.merge(word)) for word in frequent_words(docs, limit)))
@@ -327,10 +330,12 @@ def encoded(docs: DataFrame, path: str, result: dict, schema: str, limit: int =
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         symbols = Merges.__new__(Merges)
         vars(symbols).update(shared.value)
-        encoder = Encoder(symbols, Lexicon(SparkFiles.get(lexicon)))
-        for texts in batches:
-            rows = [[make(parts) for make in result.values()] for parts in map(encoder.parts, texts)]
-            yield pd.DataFrame(rows, columns=list(result))
+        encoder = Encoder(symbols, Lexicon(SparkFiles.get(lexicon)), decodes)
+        for batch in batches:
+            size = step or max(1, len(batch))
+            for texts in (batch[at:at + size] for at in range(0, max(1, len(batch)), size)):
+                rows = [[make(parts) for make in result.values()] for parts in map(encoder.parts, texts)]
+                yield pd.DataFrame(rows, columns=list(result))
 
     packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text")).withColumn("made", encode("text"))
     return packed.select("row", "made.*")
@@ -358,5 +363,5 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 def records(docs: DataFrame, path: str, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, the ``carried`` columns, n_tokens and the ids of every document (doc_id, source, text)."""
-    made = encoded(docs.select("doc_id", "source", "text", *carried), path, {"n_tokens": token_count, "ids": token_ids}, "n_tokens long, ids array<int>")
+    made = encoded(docs.select("doc_id", "source", "text", *carried), path, {"n_tokens": token_count, "ids": token_ids}, "n_tokens long, ids array<int>", decodes=False, step=RECORD_TEXTS)
     return made.select("row.doc_id", "row.source", *[f"row.{c}" for c in carried], "n_tokens", "ids")
