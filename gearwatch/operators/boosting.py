@@ -22,15 +22,19 @@ trees of one leaf. Rows without a label are left out.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gearwatch.session import scratch_folder
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
+
 #: A gradient or hessian of 1.
 UNIT = 1 << 24
 #: Trees after which rows are written with their margin.

@@ -87,7 +87,7 @@ def write_results(store: Store, scored: DataFrame, alerts_of: Callable[[DataFram
         "*", F.lit(model).alias("model_version"), time.alias("created_at"))
     alerts = store.write("alerts", rows, run_id)
     found = written_counts(predictions=predictions, alerts=alerts)
-    return {"prediction_rows": found["predictions"][0], "alert_rows": found["alerts"][0],
+    return {"prediction_rows": found["predictions"][0], "alert_rows": found["alerts"][0], "model_version": model,
             "last_prediction_id": found["predictions"][1], "last_alert_id": found["alerts"][1]}
 
 

@@ -257,25 +257,32 @@ class Store:
         """Runs whose rows of a table may be written by another run as well.
 
         The run log has the id range of every run. Ranges are swept in order; a run that wrote
-        without a range may overlap with all others. One row per run reaches the driver.
+        without a range may overlap with all others. Predictions and alerts of different models
+        have different keys, so these are swept by model; a run without one counts for every
+        model. One row per run reaches the driver.
         """
         done = self._log("runs").filter("status = 'SUCCESS'")
         if table == "processed":
             done = done.filter(F.col("pipeline_name") == S.RULE_PIPELINE)
         else:
             done = done.filter(F.col("last_prediction_id" if table == "predictions" else "last_alert_id").isNotNull())
-        ranges = done.select("run_id", "from_raw_id", "to_raw_id").collect()
-        known = sorted((r.from_raw_id, r.to_raw_id, r.run_id) for r in ranges if r.from_raw_id is not None)
-        open_ended = [r.run_id for r in ranges if r.from_raw_id is None and path_exists(self.spark, f"{self.root}/{table}/run_id={r.run_id}")]
-        if open_ended:
-            everything = open_ended + [run for *_, run in known]
-            return sorted(everything) if len(everything) > 1 else []
-        found, reach, reaching = set(), None, None
-        for low, high, run in known:
-            if reach is not None and low <= reach:
-                found |= {run, reaching}
-            if reach is None or high > reach:
-                reach, reaching = high, run
+        ranges = done.select("run_id", "from_raw_id", "to_raw_id", "model_version").collect()
+        models = {r.model_version for r in ranges if r.model_version is not None} if table != "processed" else set()
+        found: set[int] = set()
+        for model in models or {None}:
+            mine = [r for r in ranges if model is None or r.model_version in (model, None)]
+            open_ended = [r.run_id for r in mine if r.from_raw_id is None and path_exists(self.spark, f"{self.root}/{table}/run_id={r.run_id}")]
+            known = sorted((r.from_raw_id, r.to_raw_id, r.run_id) for r in mine if r.from_raw_id is not None)
+            if open_ended:
+                everything = open_ended + [run for *_, run in known]
+                found |= set(everything) if len(everything) > 1 else set()
+                continue
+            reach, reaching = None, None
+            for low, high, run in known:
+                if reach is not None and low <= reach:
+                    found |= {run, reaching}
+                if reach is None or high > reach:
+                    reach, reaching = high, run
         return sorted(found)
 
     def _resolved(self, table: str, columns: list[str], resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -73,7 +73,7 @@ RUNS = _struct(
     ("scheduled_time", _TIME), ("started_at", _TIME), ("finished_at", _TIME), ("status", _TEXT),
     ("raw_rows_used", _ID), ("from_raw_id", _ID), ("to_raw_id", _ID), ("checkpoint_before", _ID),
     ("checkpoint_after", _ID), ("last_inserted_at", _TIME),
-    ("last_prediction_id", _ID), ("last_alert_id", _ID), ("notes", _TEXT))
+    ("last_prediction_id", _ID), ("last_alert_id", _ID), ("notes", _TEXT), ("model_version", _TEXT))
 
 INGESTS = _struct(
     ("ingest_id", _TEXT), ("consumed", _ID), ("inserted", _ID), ("duplicates", _ID),

@@ -8,6 +8,8 @@ from gearwatch.plans.store import Store
 from gearwatch.schema import NATURAL_KEY
 from gearwatch.session import scratch_folder
 from gearwatch.sources.fixtures import messages
+from gearwatch import schema as S
+from gearwatch.streaming import stateful
 from gearwatch.streaming.ingest import ingest_stream, read_message_files, score_stream
 from registry import oracle as O
 from registry.common import Checks, batches, new_store
@@ -64,3 +66,16 @@ def stream_incremental(spark, folder):
         store.ingest(batch, f"batch-{number}")
         score_stream(store, offsets).awaitTermination()
     return store.predictions().select("raw_id", "source_file", "engine_id", "latest_cycle", "risk_score", "predicted_rul", "risk_level")
+
+
+@checks.add("stateful_scores", with_(O.BATCHED, "SELECT raw_id, CAST(run_id - 1 AS BIGINT) AS batch_id, source_file, engine_id, time_in_cycles, risk_score, predicted_rul, risk_level, recommended_action FROM predictions"))
+def stateful_scores(spark, folder):
+    """The three batches as a stream that is started anew for each of them, with its look-back in keyed state."""
+    files, out, offsets = (scratch_folder(spark, label) for label in ("readings", "stateful", "offsets"))
+    for batch in batches(spark, folder):
+        rows = batch.withColumn("raw_id", F.col("arrival_seq") + 1).select(*S.RAW.names)
+        rows.coalesce(1).write.mode("append").parquet(files)
+        readings = spark.readStream.schema(S.RAW).option("maxFilesPerTrigger", 1).parquet(files)
+        stateful.score_with_state(readings, out, offsets).awaitTermination()
+    return stateful.scored_batches(spark, out, "predictions").select(
+        "raw_id", "batch_id", "source_file", "engine_id", "time_in_cycles", "risk_score", "predicted_rul", "risk_level", "recommended_action")

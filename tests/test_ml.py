@@ -116,3 +116,22 @@ def test_trained_run(spark, folder, tmp_path):
     with pytest.raises(FileNotFoundError):
         run_trained_model(store, str(tmp_path / "none"), as_of=noon)
     assert store.runs().orderBy(F.col("run_id").desc()).first().status == "FAILED"
+
+
+def test_a_trained_run_does_not_resolve_rule_runs(spark, folder, tmp_path):
+    """Predictions of one rule run and one trained run over the same ids are read without combining versions."""
+    store = Store(spark, str(tmp_path / "store")).create()
+    rows = telemetry(spark, folder).withColumn("arrival_seq", F.col("raw_id")).drop("raw_id")
+    total = rows.count()
+    for part, (low, high) in enumerate([(0, total // 2), (total // 2, total)]):
+        store.ingest(rows.filter(F.col("arrival_seq").between(low + 1, high)), f"p-{part}")
+        run_rule_scoring(store)
+    label = ml.with_label(store.processed(), 2).select("label", *MODEL_INPUTS)
+    ml.save_model(ml.train(label, ml.forest(3, depth=3)), str(tmp_path / "model"))
+    run_trained_model(store, str(tmp_path / "model"), "check")
+    assert store.overlapping_runs("predictions") == store.overlapping_runs("alerts") == []
+    plan = store.predictions()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.replace("Aggregate [run_id", "").replace("Aggregate [ingest_id", "")
+    once = store.predictions().count()
+    run_trained_model(store, str(tmp_path / "model"), "check")
+    assert len(store.overlapping_runs("predictions")) == 2 and store.predictions().count() == once
