@@ -5,8 +5,10 @@ is filed under the smallest hash among the grams inside it, so equal windows are
 wherever they stand, and neighbouring windows that share their smallest gram travel as one run.
 Runs whose gram occurs once cannot hold a repeat and go no further. The others are cut out of their
 texts and grouped by gram; ``within`` finds the repeated windows of the groups that fit in memory.
-A gram with more than ``HOT_RUNS`` runs is not sent to one task: equal runs are combined before the
-shuffle, and the windows of the remaining runs are compared by a 128-bit hash of their whole content.
+A gram with more than ``HOT_RUNS`` runs is not sent to one task: of equal runs the earliest stays, and the
+windows of those are filed anew under grams twice as long, until every group fits and goes through
+``within`` as well. A gram cannot be longer than the window; windows whose longest gram is still in
+too many runs are compared by a 128-bit hash of their whole content.
 """
 
 from __future__ import annotations
@@ -214,8 +216,17 @@ def window_spans(row: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarr
 Within = Callable[[list, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def spans_in_groups(cut: DataFrame, unit: type, window: int, within: Within) -> DataFrame:
-    """(digest, first, stop) of the repeated windows of all grams that are not hot.
+def run_order(docs: np.ndarray, digests: pa.Array, firsts: np.ndarray) -> np.ndarray:
+    """The place of each run among all: by document id, then by text, then by place."""
+    halves = np.frombuffer(b"".join(digests.to_pylist()), ">u8").reshape(-1, 2)
+    order = np.lexsort((firsts, halves[:, 1], halves[:, 0], docs))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank
+
+
+def spans_in_groups(groups: DataFrame, unit: type, window: int, within: Within) -> DataFrame:
+    """(digest, first, stop) of the repeated windows in the runs (gram, first_doc, digest, first, body).
 
     ``within`` gets texts, the order of each among documents (rank of its id) and the order of each
     among all runs, and returns row and place of the windows to remove, in order.
@@ -224,16 +235,11 @@ def spans_in_groups(cut: DataFrame, unit: type, window: int, within: Within) ->
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
             docs, firsts = (table.column(k).to_numpy() for k in ("first_doc", "first"))
-            digests = table.column("digest").to_pylist()
-            # Within a document id, texts follow one another by digest, and runs by place.
-            order = np.array(sorted(range(len(docs)), key=lambda i: (docs[i], digests[i], firsts[i])))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
+            digests = table.column("digest").combine_chunks()
             _, doc_rank = np.unique(docs, return_inverse=True)
-            row, at = within([unit(body) for body in table.column("body").to_pylist()], doc_rank, rank)
+            row, at = within([unit(body) for body in table.column("body").to_pylist()], doc_rank, run_order(docs, digests, firsts))
             row, first, stop = window_spans(row, at, window)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([digests[i] for i in row], pa.binary()), pa.array(firsts[row] + first), pa.array(firsts[row] + stop)], ["digest", "first", "stop"])
+            return pa.RecordBatch.from_arrays([digests.take(pa.array(row)), pa.array(firsts[row] + first), pa.array(firsts[row] + stop)], ["digest", "first", "stop"])
 
         held, size = [], 0
         for batch in batches:
@@ -252,23 +258,54 @@ def spans_in_groups(cut: DataFrame, unit: type, window: int, within: Within) ->
             if len(table):
                 yield found(table)
 
-    groups = cut.filter("NOT hot").select("gram", "first_doc", "digest", "first", "body")
-    dealt = groups.repartition("gram").sortWithinPartitions("gram")
+    dealt = groups.select("gram", "first_doc", "digest", "first", "body").repartition("gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(search, "digest binary, first long, stop long")
 
 
-def spans_of_hot(cut: DataFrame, unit: type, window: int, same_document: bool) -> DataFrame:
-    """(digest, first, stop) of the repeated windows of hot grams.
+def split_copies(hot: DataFrame, same_document: bool) -> tuple[DataFrame, DataFrame]:
+    """Spans of the runs that equal an earlier run, and the other runs.
 
-    A window goes if an equal one has a smaller order: (id, digest, place) where repeats in one
-    document count, else the id alone.
+    The order is (id, digest, place) where repeats in one document count, else the id alone; then
+    equal runs of the earliest document all stay.
     """
     order = F.struct("first_doc", "digest", "first") if same_document else F.struct("first_doc")
-    hot = cut.filter("hot").withColumn("content", F.unhex(F.md5("body"))).withColumn("order", order)
+    hot = hot.withColumn("content", F.unhex(F.md5("body"))).withColumn("order", order)
     kinds = written(hot.groupBy("content").agg(F.min("order").alias("least")), "contents")
-    # A run that equals an earlier one goes as a whole, the others are searched window by window.
     compared = hot.join(kinds, "content")
     copied = compared.filter("least < order").select("digest", "first", (F.col("first") + F.col("units")).alias("stop"))
+    return copied, compared.filter("least = order").select("first_doc", "digest", "first", "body")
+
+
+def cut_finer(kept: DataFrame, unit: type, window: int, gram: int) -> DataFrame:
+    """The runs of ``cut_runs`` for longer grams, made from runs instead of texts, written."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            columns: dict[str, list] = {name: [] for name in ("gram", "times", "first", "units", "body")}
+            owner = []
+            for at, (first, body) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
+                text = unit(body.as_py())
+                start, length, grams, twice = runs(text, window, gram)
+                columns["gram"] += grams.view(np.int64).tolist()
+                columns["times"] += (1 + twice).tolist()
+                columns["first"] += (first + start).tolist()
+                columns["units"] += (length + window - 1).tolist()
+                columns["body"] += [text.cut(int(a), int(a + n) + window - 1) for a, n in zip(start, length)]
+                owner += [at] * len(start)
+            take = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns["gram"], pa.int64()), pa.array(columns["times"], pa.int64()), batch.column(0).take(take), batch.column(1).take(take),
+                 *[pa.array(columns[name], kind) for name, kind in (("first", pa.int64()), ("units", pa.int64()), ("body", pa.binary()))]],
+                ["gram", "times", "first_doc", "digest", "first", "units", "body"])
+
+    filed = written(kept.mapInArrow(cut, "gram long, times long, first_doc long, digest binary, first long, units long, body binary"), "finer")
+    often = written(filed.groupBy("gram").agg(F.count("*").alias("runs"), F.sum("times").alias("total")).filter("total > 1").drop("total"), "finer-grams")
+    joined = filed.join(often, "gram").select("gram", (F.col("runs") > HOT_RUNS).alias("hot"), "first_doc", "digest", "first", "units", "body")
+    return written(joined, "finer-runs")
+
+
+def spans_by_window(kept: DataFrame, unit: type, window: int, same_document: bool) -> DataFrame:
+    """(digest, first, stop) of the windows of runs (first_doc, digest, first, body) that equal an earlier one."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -286,19 +323,25 @@ def spans_of_hot(cut: DataFrame, unit: type, window: int, same_document: bool) -
                     [pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(b).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(place))],
                     ["a", "b", "first_doc", "digest", "first"])
 
-    each = written(compared.filter("least = order").select("first_doc", "digest", "first", "body").mapInArrow(
-        windows, "a long, b long, first_doc long, digest binary, first long").withColumn("order", order), "windows")
+    order = F.struct("first_doc", "digest", "first") if same_document else F.struct("first_doc")
+    each = written(kept.mapInArrow(windows, "a long, b long, first_doc long, digest binary, first long").withColumn("order", order), "windows")
     least = written(each.groupBy("a", "b").agg(F.min("order").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n"), "least-windows")
-    found = each.join(least, ["a", "b"]).filter("least < order").select("digest", "first", (F.col("first") + window).alias("stop"))
-    return copied.unionByName(found)
+    return each.join(least, ["a", "b"]).filter("least < order").select("digest", "first", (F.col("first") + window).alias("stop"))
 
 
 def repeated_spans(texts: DataFrame, unit: type, window: int, gram: int, within: Within, same_document: bool) -> DataFrame:
     """(digest, spans) with the spans of units to remove; spans may overlap."""
     cut = cut_runs(texts, unit, window, gram)
-    spans = spans_in_groups(cut, unit, window, within)
-    if cut.filter("hot").limit(1).count():
-        spans = spans.unionByName(spans_of_hot(cut, unit, window, same_document))
+    spans = spans_in_groups(cut.filter("NOT hot"), unit, window, within)
+    while not (hot := cut.filter("hot")).isEmpty():
+        copied, kept = split_copies(hot, same_document)
+        spans = spans.unionByName(copied)
+        gram *= 2
+        if gram >= window:
+            spans = spans.unionByName(spans_by_window(kept, unit, window, same_document))
+            break
+        cut = cut_finer(kept, unit, window, gram)
+        spans = spans.unionByName(spans_in_groups(cut.filter("NOT hot"), unit, window, within))
     return spans.groupBy("digest").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
 
 
