@@ -114,11 +114,11 @@ def share_window(packed: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.
     return same
 
 
-def within(texts: list[Bytes], doc_rank: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and place of the windows that also start earlier: in a run of smaller rank, or before in the same run."""
-    sizes = np.array([t.size + 1 for t in texts])
-    joined = np.frombuffer(b"\0".join(t.body for t in texts) + b"\0", np.uint8)
-    row = np.repeat(np.arange(len(texts)), sizes)
+def repeats_in(bodies: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of the windows that also start in a body of smaller rank, or before in the same one."""
+    sizes = np.array([len(body) + 1 for body in bodies])
+    joined = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8)
+    row = np.repeat(np.arange(len(bodies)), sizes)
     place = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     symbols = joined.astype(np.int64) + 1
     symbols[np.cumsum(sizes) - 1] = 0
@@ -136,6 +136,24 @@ def within(texts: list[Bytes], doc_rank: np.ndarray, rank: np.ndarray) -> tuple[
     return row[gone], place[gone]
 
 
+def within(texts: list[Bytes], doc_rank: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of the windows that also start earlier: in a run of smaller rank, or before in the same run.
+
+    Of equal runs only the earliest is sorted: all windows of the others also start in it.
+    """
+    earliest: dict[bytes, int] = {}
+    copy = np.zeros(len(texts), bool)
+    for i in np.argsort(rank).tolist():
+        copy[i] = earliest.setdefault(texts[i].body, i) != i
+    kept, copies = np.flatnonzero(~copy), np.flatnonzero(copy)
+    row, place = repeats_in([texts[i].body for i in kept.tolist()], rank[kept])
+    windows = np.array([texts[i].size - WINDOW + 1 for i in copies.tolist()], np.int64)
+    row = np.concatenate([kept[row], np.repeat(copies, windows)])
+    place = np.concatenate([place, np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)])
+    order = np.lexsort((place, row))
+    return row[order], place[order]
+
+
 def _counted(body: bytes, first: np.ndarray, stop: np.ndarray) -> tuple[int, int, int, str]:
     edges = [0, *np.stack([first, stop], axis=1).ravel().tolist(), len(body)]
     kept = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
