@@ -54,24 +54,27 @@ summed AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word,
 SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM texts LEFT JOIN summed USING (doc_id)"""
 
 
-def licenses(templates: dict[str, str], phrases: dict[str, str]) -> str:
+def licenses(templates: dict[str, tuple[str, ...]], phrases: dict[str, str]) -> str:
     def tokens(text: str) -> str:
         return f"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
     def literal(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    rows = ", ".join(f"({literal(label)}, {literal(text)})" for label, text in templates.items())
+    rows = ", ".join(f"({literal(label)}, {literal(text)})" for label, texts in templates.items() for text in texts)
     known = ", ".join(f"({literal(label)}, string_split({literal(phrase)}, ' '))" for phrase, label in phrases.items())
     return f"""WITH texts AS (SELECT doc_id, {tokens("coalesce(text, '')")} AS words FROM documents),
 phrases AS (SELECT * FROM (VALUES {known}) v(label, phrase)),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) - 1 AS first_word, max(pos) - 1 AS last_word, list(DISTINCT label) AS found
   FROM texts, phrases, unnest(range(1, len(words) + 1)) r(pos) WHERE list_contains(words, phrase[-1]) AND words[pos:pos + len(phrase) - 1] = phrase GROUP BY doc_id),
 templates AS (SELECT label, {tokens("content")} AS ts FROM (VALUES {rows}) v(label, content)),
-sized AS (SELECT label, list_distinct(ts) AS kinds, len(ts) + len(ts) // 2 AS width FROM templates),
-likely AS (SELECT doc_id, label, words, kinds, least(width, len(words)) AS width FROM texts, sized WHERE len(list_intersect(list_distinct(words), kinds)) >= 0.8 * len(kinds)),
-shares AS (SELECT doc_id, label, max(len(list_intersect(list_distinct(words[pos:pos + width - 1]), kinds)) / len(kinds)) AS share
-  FROM likely, unnest(range(1, len(words) - width + 2)) r(pos) GROUP BY ALL),
+sized AS (SELECT row_number() OVER () AS nth, label, list_distinct(ts) AS kinds, len(ts) + len(ts) // 2 AS width FROM templates),
+apart AS (SELECT a.nth, unnest(a.kinds) AS word, b.kinds AS others FROM sized a JOIN sized b ON a.label <> b.label AND len(list_intersect(a.kinds, b.kinds)) >= 0.8 * len(a.kinds)),
+must AS (SELECT nth, list(DISTINCT word) AS musts FROM apart WHERE NOT list_contains(others, word) GROUP BY nth),
+likely AS (SELECT doc_id, label, words, kinds, coalesce(musts, []) AS musts, least(width, len(words)) AS width FROM texts, sized LEFT JOIN must USING (nth)
+  WHERE len(list_intersect(list_distinct(words), kinds)) >= 0.8 * len(kinds) AND list_has_all(list_distinct(words), coalesce(musts, []))),
+shares AS (SELECT doc_id, label, len(list_intersect(list_distinct(words[pos:pos + width - 1]), kinds)) / len(kinds) AS share
+  FROM likely, unnest(range(1, len(words) - width + 2)) r(pos) WHERE list_has_all(words[pos:pos + width - 1], musts)),
 blocks AS (SELECT doc_id, list(DISTINCT label) AS found, max(share) AS score FROM shares WHERE share >= 0.8 - 1e-12 GROUP BY doc_id)
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(list_sort(b.found), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.found, []), coalesce(k.found, [])))), ','), '') AS labels, coalesce(score, 0.0) AS score
