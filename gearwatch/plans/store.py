@@ -17,6 +17,7 @@ from gearwatch import schema as S
 from gearwatch.functions.display import TIME_TEXT
 from gearwatch.functions.messages import accepted, rejected
 from gearwatch.operators.clean import first_by
+from gearwatch.operators.membership import build_filter, possible
 from gearwatch.operators.skew import broadcast_if_small
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
 from gearwatch.session import path_exists, tune
@@ -26,7 +27,8 @@ MARK_FOLDERS = 16
 
 _MARKS = T.StructType([f for f in S.RAW.fields if f.name in NATURAL_KEY])
 _BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW, "tails": S.RAW}
-_BY_INGEST = {"raw": S.RAW, "marks": _MARKS, "quarantine": S.QUARANTINE}
+_FILTERS = T.StructType([T.StructField("buckets", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("bits", T.BinaryType())])
+_BY_INGEST = {"raw": S.RAW, "marks": _MARKS, "quarantine": S.QUARANTINE, "filters": _FILTERS}
 _LOGS = {"runs": S.RUNS, "ingests": S.INGESTS, "resolutions": S.RESOLUTIONS, "schedule": S.SCHEDULE}
 
 
@@ -110,16 +112,28 @@ class Store:
     def absent(self, rows: DataFrame) -> DataFrame:
         """Rows whose natural key is not stored yet.
 
-        A cycle above the newest stored cycle of its key cannot be stored, so only late rows
-        are looked up in the raw table, and the table is not read when there are none.
+        A cycle above the newest stored cycle of its key cannot be stored, so only late rows are
+        looked up, first in the Bloom filter of every ingest. Only the raw folders of ingests that
+        may hold one of them are opened; none when there are no late rows or all are new.
         """
         marked = rows.join(self.newest_cycles(), KEY, "left")
         late = F.coalesce(F.col(CYCLE) <= F.col("_mark"), F.lit(False))
-        fresh = marked.filter(~late)
-        if marked.filter(late).isEmpty():
+        fresh, behind = marked.filter(~late), marked.filter(late)
+        if behind.isEmpty():
             return fresh.drop("_mark")
-        unseen = marked.filter(late).join(self.raw().select(*NATURAL_KEY), NATURAL_KEY, "left_anti")
-        return fresh.unionByName(unseen).drop("_mark")
+        stored = self._folders_with(behind)
+        if stored:
+            held = self.spark.read.schema(S.RAW).parquet(*stored).select(*NATURAL_KEY)
+            behind = behind.join(held, NATURAL_KEY, "left_anti")
+        return fresh.unionByName(behind).drop("_mark")
+
+    def _folders_with(self, rows: DataFrame) -> list[str]:
+        """Raw folders that may hold a natural key of ``rows``: those whose filter has it, and those without a filter."""
+        ingests = self.ingests().filter("inserted > 0").select("ingest_id")
+        filters = self._by_ingest("filters")
+        unfiltered = ingests.join(filters.select("ingest_id").distinct(), "ingest_id", "left_anti")
+        hits = possible(rows, NATURAL_KEY, filters).select("ingest_id").distinct()
+        return [f"{self.root}/raw/ingest_id={r[0]}" for r in hits.unionByName(unfiltered).collect()]
 
     def ingest(self, batch: DataFrame, ingest_id: str, now: datetime | None = None) -> dict:
         """Insert the first arrival of every absent natural key; return the counters.
@@ -147,7 +161,7 @@ class Store:
         consumed, skipped = batch.agg(F.count_if(ok), F.count_if(~ok)).first()
         valid = accepted(batch).select("arrival_seq", "arrival_part", *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
         firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq"), F.col("arrival_part")])
-        new = self.absent(firsts) if base else firsts
+        new = self.absent(self._staged(firsts, "firsts", ingest_id)) if base else firsts
         path = f"{self.root}/raw/ingest_id={ingest_id}"
         (self._with_ids(new, base, ingest_id).select(*S.RAW.names)
          .sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path))
@@ -161,6 +175,8 @@ class Store:
             marks = marks.unionByName(self.newest_cycles().withColumnRenamed("_mark", CYCLE))
         (marks.groupBy(*KEY).agg(F.max(CYCLE).alias(CYCLE))
          .write.mode("overwrite").parquet(f"{self.root}/marks/ingest_id={ingest_id}"))
+        if inserted:
+            build_filter(written, NATURAL_KEY, inserted).write.mode("overwrite").parquet(f"{self.root}/filters/ingest_id={ingest_id}")
         if skipped:
             rejected(batch).write.mode("overwrite").parquet(f"{self.root}/quarantine/ingest_id={ingest_id}")
         row = {"ingest_id": ingest_id, "consumed": consumed, "inserted": inserted, "duplicates": consumed - inserted,

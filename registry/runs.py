@@ -315,3 +315,32 @@ def constraint_audit(spark, folder):
 @checks.add("store_audit")
 def store_audit(spark, folder):
     return quality.audit_store(scored_store(spark, folder))
+
+
+# -- late readings ----------------------------------------------------------------------------
+
+@_once
+def _late_store(spark, folder) -> Store:
+    """Four of five readings arrive first, then the others late and every reading once more."""
+    store, rows = new_store(spark, "late"), arrivals(spark, folder)
+    on_time = F.col("arrival_seq") % 5 != 0
+    store.ingest(rows.filter(on_time), "on-time", now=T1)
+    store.ingest(rows.filter(~on_time), "late", now=T1)
+    store.ingest(rows, "again", now=T2)
+    return store
+
+
+_LATE = O.TELEMETRY + """,
+arrived AS (SELECT *, (raw_id - 1) % 5 = 0 AS late FROM telemetry),
+stored AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY source_file, engine_id, time_in_cycles ORDER BY late, raw_id) = 1)"""
+
+
+@checks.add("late_inserts", with_(_LATE, "SELECT row_number() OVER (ORDER BY late, s.raw_id) AS raw_id, source_file, engine_id, time_in_cycles FROM stored s"))
+def late_inserts(spark, folder):
+    return _late_store(spark, folder).raw().select(*ID)
+
+
+@checks.add("late_counters", with_(_LATE, """SELECT 'on-time' AS ingest_id, count(*) FILTER (NOT late) AS consumed, (SELECT count(*) FROM stored WHERE NOT late) AS inserted FROM arrived
+UNION ALL SELECT 'late', count(*) FILTER (late), (SELECT count(*) FROM stored WHERE late) FROM arrived UNION ALL SELECT 'again', count(*), 0 FROM arrived"""))
+def late_counters(spark, folder):
+    return _late_store(spark, folder).ingests().select("ingest_id", "consumed", "inserted")
