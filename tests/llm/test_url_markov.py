@@ -3,7 +3,7 @@ import re
 from collections import Counter
 from zlib import crc32
 
-from pyspark.sql import functions as F
+import pytest
 
 from gearwatch.llm import url_markov as U
 
@@ -21,65 +21,102 @@ def plain(url):
     return host, path, max(fits, key=len, default=None)
 
 
+def modelled(url):
+    if not url or "://" not in url:
+        return None
+    scheme, rest = url.split("://", 1)
+    host = plain(url)[0]
+    return scheme + "://" + host + rest[len(host):]
+
+
 def plain_scores(urls):
-    """Witten-Bell blended probabilities, counted one by one."""
+    """Witten-Bell blended probabilities over the code points of whole URLs, counted one by one."""
     def grams(text):
-        plain_text = re.sub("[0-9]", "0", text.lower())
-        classes = [31] * 3 + [U.ALPHABET.find(c) + 1 for c in plain_text] + [31]
-        return [tuple(classes[i:i + 4]) for i in range(len(classes) - 3)]
+        marked = U.START * U.ORDER + text + U.END
+        return [marked[i:i + U.ORDER + 1] for i in range(len(text) + 1)]
 
+    texts = {page: modelled(url) for page, url in urls}
     counts = {"allow": Counter(), "block": Counter()}
     for page, url in urls:
-        host, path, rule = plain(url)
+        rule = plain(url)[2]
         if rule and crc32(str(page).encode()) % 5:
-            counts[RULES[rule]].update(grams(host + path))
+            counts[RULES[rule]].update(grams(texts[page]))
     tables = {}
     for side, found in counts.items():
-        for order in range(4):
+        for order in range(U.ORDER + 1):
             table = Counter()
             for gram, n in found.items():
-                table[gram[3 - order:]] += n
+                table[gram[U.ORDER - order:]] += n
             context, kinds = Counter(), Counter()
             for gram, n in table.items():
                 context[gram[:-1]] += n
                 kinds[gram[:-1]] += 1
             tables[side, order] = table, context, kinds
+    characters = {c for text in texts.values() if text is not None for c in text + U.END}
 
     def chance(side, gram):
-        p = 1 / 32
-        for order in range(4):
+        p = 1 / len(characters)
+        for order in range(U.ORDER + 1):
             table, context, kinds = tables[side, order]
-            part = gram[3 - order:]
+            part = gram[U.ORDER - order:]
             if n := context[part[:-1]]:
                 p = (table[part] + kinds[part[:-1]] * p) / (n + kinds[part[:-1]])
         return p
 
-    result = {}
-    for page, url in urls:
-        host, path, _ = plain(url)
-        gs = grams(host + path)
-        result[page] = sum(math.log(chance("allow", g) / chance("block", g)) for g in gs) / len(gs) if host or path else None
-    return result
+    def score(text):
+        return sum(round(math.log(chance("allow", g) / chance("block", g)) * U.SCALE) for g in grams(text)) / (len(text) + 1) / U.SCALE
+
+    return {page: None if text is None else score(text) for page, text in texts.items()}
+
 
+def plain_threshold(held):
+    """The edge of a bin below which most rejected and fewest accepted scores lie."""
+    bins = sorted({math.floor(max(-10, min(10, score)) / U.BIN) for score, _ in held})
+    sides = [[math.floor(max(-10, min(10, score)) / U.BIN) for score, verdict in held if verdict == side] for side in ("allow", "block")]
+    if not all(sides):
+        return 0.0
+    def error(edge):
+        return sum(b < edge for b in sides[0]) / len(sides[0]) + 1 - sum(b < edge for b in sides[1]) / len(sides[1])
+    return min(bins, key=lambda edge: (round(error(edge), 12), abs(edge))) * U.BIN
 
-def test_hosts_paths_rules_and_scores(spark):
+
+@pytest.mark.parametrize("common", [U.COMMON, 50, 1])
+def test_hosts_paths_rules_scores_and_verdicts(spark, common):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
-    odd = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.ORG/en/1x", "https://a.b.example.org/es/q?x=/de/", "x://fr.com/fr/", "x://xorg/", "ftp://org", "a://b.com?c/fr/", "q://É.com/de/ü#://org/",
-           "a://notexample.org/es/1", "a://example.org/en/2", "s://h.com/fr/x\ny"]
+    odd = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.ORG/en/1x", "https://a.b.example.org/es/q?x=/de/", "x://fr.com/fr/", "x://xorg/", "ftp://org", "a://b.com?c/fr/", "q://\u00c9.com/de/\u00fc#://org/",
+           "a://notexample.org/es/1", "a://example.org/en/2", "s://h.com/fr/x\ny", "g://\U0001F600.net/\U0001F601?q=1", "z://\u0002\u0003", "l://long.net/" + "ab1_" * 20_000]
     rows = [(r.page_id, r.url) for r in pages.collect()] + [(10_000 + i, u) for i, u in enumerate(odd)]
-    frame = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' AS host", "0 AS cell").repartition(4)
-    found = {r.page_id: r for r in U.judge(frame).collect()}
+    frame = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' AS host", "0 AS row", "'y' AS text").repartition(4)
+    found = {r.page_id: r for r in U.judge(frame, common=common).collect()}
     assert len(found) == len(rows)
     scores = plain_scores(rows)
+    held = [(scores[page], RULES[rule]) for page, url in rows if (rule := plain(url)[2]) and crc32(str(page).encode()) % 5 == 0]
+    cut = plain_threshold(held)
     for page, url in rows:
-        r = found[page]
+        r, score = found[page], scores[page]
         assert (r.host, r.path, r.rule) == plain(url)
-        assert r.verdict == RULES[r.rule] if r.rule else r.verdict in ("allow", "block")
-        assert r.score is None if scores[page] is None else abs(r.score - scores[page]) < 1e-9
+        assert r.score is None if score is None else abs(r.score - score) < 1e-8
+        if r.rule:
+            assert r.verdict == RULES[r.rule]
+        elif score is None or abs(score - cut) > 1e-8:
+            assert r.verdict == ("allow" if score is not None and score >= cut else "block")
     assert all(found[10_000 + i].verdict == "block" for i in (0, 1, 2))
-    held = [r for r in found.values() if r.rule and crc32(str(r.page_id).encode()) % 5 == 0]
-    right = sum((r.score >= 0) == (RULES[r.rule] == "allow") for r in held)
-    assert right > 0.85 * len(held)
+
+
+def test_held_out_verdicts(spark):
+    """Ruled URLs outside the learned folds; sf0.01 has only about twenty of them, too few for long contexts."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = [r for r in U.judge(pages).filter("rule IS NOT NULL").collect() if crc32(str(r.page_id).encode()) % 5 == 0]
+    assert len(held) > 150
+    assert sum((r.score >= 0) == (r.verdict == "allow") for r in held) > 0.95 * len(held)
+
+
+def test_digits_other_characters_and_queries_tell_urls_apart(spark):
+    rows = [(i, f"http://h{i}.{'good' if i % 2 else 'bad'}.net/p?{'lang=7_x' if i % 2 else 'lang=8~x'}") for i in range(200)]
+    rows += [(1000, "http://new.xyz/p?lang=7_x"), (1001, "http://new.xyz/p?lang=8~x")]
+    found = {r.page_id: r for r in U.judge(spark.createDataFrame(rows, "page_id long, url string"), ["good.net/"], ["bad.net/"]).collect()}
+    assert found[1000].verdict == "allow" and found[1001].verdict == "block"
+    assert found[1000].rule is None and found[1001].rule is None
 
 
 def test_no_rules_and_no_rows(spark):
