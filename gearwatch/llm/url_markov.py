@@ -123,14 +123,18 @@ def scores(urls: DataFrame, ratios: DataFrame, common: int = COMMON) -> DataFram
 
 
 def threshold(held: DataFrame) -> float:
-    """The bin edge with the least sum of both error shares; ``held`` has score and verdict."""
+    """The cut with the least sum of both error shares, of equally good ones the nearest to 0; ``held`` has score and verdict.
+
+    All cuts above one filled bin and up to the next have the same errors.
+    """
     bins = held.groupBy(F.floor(F.least(F.greatest(F.col("score"), F.lit(-10.0)), F.lit(10.0)) / BIN).alias("bin")).agg(
         F.count_if(F.col("verdict") == "allow").alias("good"), F.count_if(F.col("verdict") == "block").alias("bad"))
     everything, below = W.partitionBy(), W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)  # at most 1,001 bins
-    edges = bins.select("bin", F.sum("good").over(everything).alias("all_good"), F.sum("bad").over(everything).alias("all_bad"),
-                        F.coalesce(F.sum("good").over(below), F.lit(0)).alias("good_below"), F.coalesce(F.sum("bad").over(below), F.lit(0)).alias("bad_below"))
-    error = F.col("good_below") / F.col("all_good") + 1 - F.col("bad_below") / F.col("all_bad")
-    best = edges.filter("all_good > 0 AND all_bad > 0").orderBy(error, F.abs("bin")).select("bin").first()
+    cuts = bins.select(F.greatest(F.least("bin", F.lit(0)), F.max("bin").over(below) + 1).alias("cut"),
+                       F.sum("good").over(everything).alias("all_good"), F.sum("bad").over(everything).alias("all_bad"),
+                       F.coalesce(F.sum("good").over(below), F.lit(0)).alias("good_below"), F.coalesce(F.sum("bad").over(below), F.lit(0)).alias("bad_below"))
+    error = F.round(F.col("good_below") / F.col("all_good") - F.col("bad_below") / F.col("all_bad"), 12)
+    best = cuts.filter("all_good > 0 AND all_bad > 0").orderBy(error, F.abs("cut"), "cut").select("cut").first()
     return best[0] * BIN if best else 0.0
 
 

@@ -70,14 +70,14 @@ def plain_scores(urls):
 
 
 def plain_threshold(held):
-    """The edge of a bin below which most rejected and fewest accepted scores lie."""
-    bins = sorted({math.floor(max(-10, min(10, score)) / U.BIN) for score, _ in held})
+    """The whole number of bins below which most rejected and fewest accepted scores lie; the nearest to 0 of equally good ones."""
     sides = [[math.floor(max(-10, min(10, score)) / U.BIN) for score, verdict in held if verdict == side] for side in ("allow", "block")]
     if not all(sides):
         return 0.0
-    def error(edge):
-        return sum(b < edge for b in sides[0]) / len(sides[0]) + 1 - sum(b < edge for b in sides[1]) / len(sides[1])
-    return min(bins, key=lambda edge: (round(error(edge), 12), abs(edge))) * U.BIN
+
+    def error(cut):
+        return round(sum(b < cut for b in sides[0]) / len(sides[0]) - sum(b < cut for b in sides[1]) / len(sides[1]), 12)
+    return min(range(-500, max(sides[0] + sides[1]) + 1), key=lambda cut: (error(cut), abs(cut), cut)) * U.BIN
 
 
 @pytest.mark.parametrize("common", [U.COMMON, 50, 1])
