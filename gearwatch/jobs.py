@@ -19,7 +19,7 @@ from gearwatch import schema as S
 from gearwatch.functions.messages import encode_messages
 from gearwatch.operators import ml
 from gearwatch.operators.metrics import class_report
-from gearwatch.plans import reports
+from gearwatch.plans import reports, totals
 from gearwatch.plans.model_run import run_trained_model
 from gearwatch.plans.rule_run import run_rule_scoring
 from gearwatch.plans.store import Store
@@ -43,9 +43,9 @@ def table(store: Store, name: str) -> DataFrame:
 def report(store: Store, name: str) -> DataFrame:
     """One of the operator reports by name."""
     known = {
-        "counts": lambda: reports.headline_counts(store.raw(), store.processed(), store.predictions(), store.alerts()),
-        "levels": lambda: reports.risk_distribution(store.predictions()),
-        "status": lambda: reports.engine_status(store.predictions()),
+        "counts": lambda: totals.headline_counts(store),
+        "levels": lambda: totals.risk_distribution(store),
+        "status": lambda: totals.engine_status(store),
         "latest": lambda: reports.latest_predictions(store.predictions()),
         "runs": lambda: reports.latest_runs(store.runs()),
         "alerts": lambda: reports.active_alerts(store.alerts()),

@@ -9,6 +9,7 @@ from gearwatch.operators.selection import engine_filter
 from gearwatch.schema import ENGINE, SOURCE
 
 LEVELS = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
+STATUS = ["risk_score", "risk_level", "latest_cycle", "recommended_action"]
 
 
 def headline_counts(raw: DataFrame, processed: DataFrame, predictions: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -37,6 +38,10 @@ def risk_distribution(predictions: DataFrame, keys: tuple[str, ...] = (ENGINE,))
     counts = newest.groupBy("risk_level").agg(F.count(F.lit(1)).alias("engines"))
     levels = predictions.sparkSession.createDataFrame([(level,) for level in LEVELS], "risk_level string")
     table = levels.join(counts, "risk_level", "full").withColumn("engines", F.coalesce("engines", F.lit(0)))
+    return with_shares(table)
+
+
+def with_shares(table: DataFrame) -> DataFrame:
     total = table.agg(F.sum("engines").alias("n")).scalar()
     return table.withColumn("share", F.when(total == 0, F.lit(0.0)).otherwise(
         F.rint(F.col("engines") / total * 1000) / 10))
@@ -52,8 +57,7 @@ def engine_history(predictions: DataFrame, engine: int, newest_first: bool = Fal
 
 def engine_status(predictions: DataFrame) -> DataFrame:
     """Current status of every engine: its newest prediction."""
-    status = ["risk_score", "risk_level", "latest_cycle", "recommended_action"]
-    return latest_per_engine(predictions).select(ENGINE, *status)
+    return latest_per_engine(predictions).select(ENGINE, *STATUS)
 
 
 def latest_predictions(predictions: DataFrame, level: str = "ALL", engines: str = "", top: int = 200) -> DataFrame:

@@ -19,6 +19,7 @@ from gearwatch.functions.messages import accepted, rejected
 from gearwatch.operators.clean import first_by
 from gearwatch.operators.membership import build_filter, possible
 from gearwatch.operators.skew import broadcast_if_small
+from gearwatch.plans import totals
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
 from gearwatch.session import path_exists, tune
 
@@ -232,8 +233,10 @@ class Store:
         return run
 
     def finish_run(self, run: dict, status: str, now: datetime, **fields) -> dict:
-        """Final row of a run; with status SUCCESS it commits the run."""
+        """Final row of a run; with status SUCCESS it commits the run, with the totals as they are then."""
         row = {**run, "seq": 1, "status": status, "finished_at": now, **fields}
+        if status == "SUCCESS":
+            row["totals_run"] = totals.advance(self, row)
         self._append_log("runs", row)
         return row
 
@@ -264,10 +267,21 @@ class Store:
         path = f"{self.root}/tails/run_id={run_id}"
         return self.spark.read.schema(S.RAW).parquet(path) if run_id is not None and path_exists(self.spark, path) else None
 
+    def committed_runs(self) -> DataFrame:
+        """The final row of every successful run."""
+        return self._log("runs").filter("status = 'SUCCESS'")
+
     def committed(self, table: str) -> DataFrame:
         """Every version written by a successful run."""
-        done = self._log("runs").filter("status = 'SUCCESS'").select("run_id")
-        return self._versions(table).join(done, "run_id", "left_semi")
+        return self._versions(table).join(self.committed_runs().select("run_id"), "run_id", "left_semi")
+
+    def of_run(self, table: str, run_id: int) -> DataFrame:
+        """What one run wrote, committed or not."""
+        return self.spark.read.schema(_BY_RUN[table]).parquet(f"{self.root}/{table}/run_id={run_id}")
+
+    def of_runs(self, table: str, run_ids: list[int]) -> DataFrame:
+        """What some runs wrote; other folders are not opened."""
+        return self.spark.read.schema(_BY_RUN[table]).parquet(*[f"{self.root}/{table}/run_id={i}" for i in run_ids])
 
     def overlapping_runs(self, table: str) -> list[int]:
         """Runs whose rows of a table may be written by another run as well.
@@ -337,13 +351,22 @@ class Store:
                     .select("id", *keys, "_latest.*"))
 
         merged = self._resolved("alerts", ["id", *keys, *latest], resolve)
-        closed = self._log("resolutions").groupBy(F.col("alert_id").alias("id")).agg(F.max("after_run_id").alias("_closed"))
+        closed = self.resolutions().groupBy(F.col("alert_id").alias("id")).agg(F.max("after_run_id").alias("_closed"))
         return (merged.join(closed, "id", "left")
                 .withColumn("is_resolved", F.coalesce(F.col("_closed") >= F.col("run_id"), F.lit(False))).drop("_closed"))
 
+    def resolutions(self) -> DataFrame:
+        """The log of resolved alerts; ``closed`` is 1 where the alert was open until then."""
+        return self._log("resolutions")
+
     def resolve_alert(self, alert_id: int, now: datetime | None = None) -> None:
         last = self._log("runs").filter("status = 'SUCCESS'").agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]
-        self._append_log("resolutions", {"alert_id": alert_id, "after_run_id": last, "resolved_at": now or utc_now()})
+        named = self.committed("alerts").filter(F.col("id") == alert_id).select("raw_id", "model_version").first()
+        closed = 0
+        if named:
+            same = (F.col("raw_id") == named.raw_id) & F.col("model_version").eqNullSafe(named.model_version)
+            closed = int(not self.alerts().filter(same & (F.col("id") == alert_id) & ~F.col("is_resolved")).isEmpty())
+        self._append_log("resolutions", {"alert_id": alert_id, "after_run_id": last, "resolved_at": now or utc_now(), "closed": closed})
 
     # -- schedule ---------------------------------------------------------------------------
 

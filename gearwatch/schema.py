@@ -73,14 +73,15 @@ RUNS = _struct(
     ("scheduled_time", _TIME), ("started_at", _TIME), ("finished_at", _TIME), ("status", _TEXT),
     ("raw_rows_used", _ID), ("from_raw_id", _ID), ("to_raw_id", _ID), ("checkpoint_before", _ID),
     ("checkpoint_after", _ID), ("last_inserted_at", _TIME),
-    ("last_prediction_id", _ID), ("last_alert_id", _ID), ("notes", _TEXT), ("model_version", _TEXT))
+    ("last_prediction_id", _ID), ("last_alert_id", _ID), ("notes", _TEXT), ("model_version", _TEXT),
+    ("totals_run", _ID))
 
 INGESTS = _struct(
     ("ingest_id", _TEXT), ("consumed", _ID), ("inserted", _ID), ("duplicates", _ID),
     ("skipped", _ID), ("from_raw_id", _ID), ("to_raw_id", _ID), ("committed_at", _TIME),
     ("full_marks", _INT))
 
-RESOLUTIONS = _struct(("alert_id", _ID), ("after_run_id", _ID), ("resolved_at", _TIME))
+RESOLUTIONS = _struct(("alert_id", _ID), ("after_run_id", _ID), ("resolved_at", _TIME), ("closed", _ID))
 
 SCHEDULE = _struct(
     ("version", _ID), ("time_1", _TEXT), ("time_2", _TEXT), ("time_3", _TEXT), ("updated_at", _TIME))

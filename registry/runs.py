@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from gearwatch.functions.numbers import clip
 from gearwatch.operators import quality
 from gearwatch.operators.scoring import apply_probability, probability_alerts
-from gearwatch.plans import reports
+from gearwatch.plans import reports, totals
 from gearwatch.plans.rule_run import recompute_keys, run_rule_scoring, write_results
 from gearwatch.plans.store import Store
 from gearwatch.schema import KEY, NATURAL_KEY, TRACKED_SENSORS
@@ -218,9 +218,12 @@ def resolve_alert(spark, folder):
 
 # -- reports ----------------------------------------------------------------------------------
 
-@checks.add("headline_counts", with_(O.BATCHED, """SELECT 'raw_rows' AS metric, count(*) AS rows FROM batched
+_COUNTS = with_(O.BATCHED, """SELECT 'raw_rows' AS metric, count(*) AS rows FROM batched
 UNION ALL SELECT 'processed_rows', count(*) FROM batched UNION ALL SELECT 'prediction_rows', count(*) FROM predictions
-UNION ALL SELECT 'active_alerts', count(*) FROM alerts"""))
+UNION ALL SELECT 'active_alerts', count(*) FROM alerts""")
+
+
+@checks.add("headline_counts", _COUNTS)
 def headline_counts(spark, folder):
     store = scored_store(spark, folder)
     return reports.headline_counts(store.raw(), store.processed(), store.predictions(), store.alerts())
@@ -229,9 +232,12 @@ def headline_counts(spark, folder):
 _NEWEST = """newest AS (SELECT * FROM predictions QUALIFY row_number() OVER (PARTITION BY engine_id ORDER BY prediction_time DESC, id DESC) = 1)"""
 
 
-@checks.add("risk_distribution", with_(O.BATCHED + ",\n" + _NEWEST, """SELECT l.level AS risk_level, count(n.engine_id) AS engines,
+_LEVELS = with_(O.BATCHED + ",\n" + _NEWEST, """SELECT l.level AS risk_level, count(n.engine_id) AS engines,
 round_even(count(n.engine_id) / (SELECT count(*) FROM newest) * 1000, 0) / 10 AS share
-FROM (VALUES ('CRITICAL'), ('HIGH'), ('MEDIUM'), ('LOW')) l(level) LEFT JOIN newest n ON n.risk_level = l.level GROUP BY ALL"""))
+FROM (VALUES ('CRITICAL'), ('HIGH'), ('MEDIUM'), ('LOW')) l(level) LEFT JOIN newest n ON n.risk_level = l.level GROUP BY ALL""")
+
+
+@checks.add("risk_distribution", _LEVELS)
 def risk_distribution(spark, folder):
     return reports.risk_distribution(scored_store(spark, folder).predictions())
 
@@ -244,7 +250,10 @@ def engine_history(spark, folder):
     return reports.engine_history(scored_store(spark, folder).predictions(), 7)
 
 
-@checks.add("engine_status", with_(O.BATCHED + ",\n" + _NEWEST, f"SELECT engine_id, {_SHOWN} FROM newest"))
+_STATUS = with_(O.BATCHED + ",\n" + _NEWEST, f"SELECT engine_id, {_SHOWN} FROM newest")
+
+
+@checks.add("engine_status", _STATUS)
 def engine_status(spark, folder):
     return reports.engine_status(scored_store(spark, folder).predictions())
 
@@ -286,6 +295,39 @@ def stale_alerts(spark, folder):
     return quality.stale_alerts(store.alerts(), store.predictions()).select("id", *KEY)
 
 
+# -- totals kept by the changes of each run ---------------------------------------------------
+
+@checks.add("kept_counts", _COUNTS)
+def kept_counts(spark, folder):
+    return totals.headline_counts(scored_store(spark, folder))
+
+
+@checks.add("kept_levels", _LEVELS)
+def kept_levels(spark, folder):
+    return totals.risk_distribution(scored_store(spark, folder))
+
+
+@checks.add("kept_status", _STATUS)
+def kept_status(spark, folder):
+    return totals.engine_status(scored_store(spark, folder))
+
+
+@checks.add("kept_counts_rescored", with_(_ALERTS_AGAIN, """SELECT 'raw_rows' AS metric, CAST(0 AS BIGINT) AS rows UNION ALL SELECT 'processed_rows', 0
+UNION ALL SELECT 'prediction_rows', count(*) FROM twice UNION ALL SELECT 'active_alerts', count(*) FROM merged WHERE NOT is_resolved"""))
+def kept_counts_rescored(spark, folder):
+    return totals.headline_counts(_rescored(spark, folder))
+
+
+@checks.add("kept_levels_rescored", with_(_RESCORED + """,
+newest AS (SELECT CASE WHEN again THEN second_score ELSE first_score END AS score FROM twice
+  QUALIFY row_number() OVER (PARTITION BY engine_id ORDER BY again DESC, raw_id DESC) = 1),
+levels AS (SELECT CASE WHEN score >= 0.8 THEN 'HIGH' WHEN score >= 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level FROM newest)""", """
+SELECT l.level AS risk_level, count(n.risk_level) AS engines, round_even(count(n.risk_level) / (SELECT count(*) FROM levels) * 1000, 0) / 10 AS share
+FROM (VALUES ('CRITICAL'), ('HIGH'), ('MEDIUM'), ('LOW')) l(level) LEFT JOIN levels n ON n.risk_level = l.level GROUP BY ALL"""))
+def kept_levels_rescored(spark, folder):
+    return totals.risk_distribution(_rescored(spark, folder))
+
+
 # -- audit ------------------------------------------------------------------------------------
 
 @checks.add("constraint_audit", with_(O.TELEMETRY + """,
