@@ -70,12 +70,15 @@ def stream_incremental(spark, folder):
 
 @checks.add("stateful_scores", with_(O.BATCHED, "SELECT raw_id, CAST(run_id - 1 AS BIGINT) AS batch_id, source_file, engine_id, time_in_cycles, risk_score, predicted_rul, risk_level, recommended_action FROM predictions"))
 def stateful_scores(spark, folder):
-    """The three batches as a stream that is started anew for each of them, with its look-back in keyed state."""
+    """The three batches as a stream that is started anew for each of them, with its look-back in keyed state.
+
+    The files of a batch are all that is unread when the stream starts, and are one micro-batch.
+    """
     files, out, offsets = (scratch_folder(spark, label) for label in ("readings", "stateful", "offsets"))
     for batch in batches(spark, folder):
         rows = batch.withColumn("raw_id", F.col("arrival_seq") + 1).select(*S.RAW.names)
-        rows.coalesce(1).write.mode("append").parquet(files)
-        readings = spark.readStream.schema(S.RAW).option("maxFilesPerTrigger", 1).parquet(files)
+        rows.write.mode("append").parquet(files)
+        readings = spark.readStream.schema(S.RAW).parquet(files)
         stateful.score_with_state(readings, out, offsets).awaitTermination()
     return stateful.scored_batches(spark, out, "predictions").select(
         "raw_id", "batch_id", "source_file", "engine_id", "time_in_cycles", "risk_score", "predicted_rul", "risk_level", "recommended_action")

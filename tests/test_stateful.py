@@ -1,6 +1,7 @@
 """Scoring with keyed state against the incremental run over the same batches."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,32 @@ def test_rolling_equals_a_plain_version():
             seen = values[max(0, i - window + 1):i + 1]
             assert np.allclose(mean[i], seen.mean(axis=0)) and np.allclose(deviation[i], seen.std(axis=0, ddof=1) if len(seen) > 1 else 0)
             assert np.allclose(change[i], values[i] - values[i - 1] if i else 0)
+
+
+class Entries:
+    """A map state that counts what is asked of it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_a_bucket_of_machines_is_one_frame_and_few_entries():
+    names = [c for c in S.PROCESSED_COLUMNS if c in S.RAW.names]
+    rows = pd.DataFrame({c: np.arange(600.0) for c in names}).assign(
+        raw_id=np.arange(600), source_file=[f"s{i % 2}" for i in range(600)], engine_id=np.arange(600) // 6, time_in_cycles=np.arange(600) % 6, block=np.arange(600) // 6 % 4)
+    processor = stateful.KeyedFeatures(5, 50)
+    processor.blocks = Entries()
+    found = pd.concat([*processor.handleInputRows((0,), iter([rows[:240], rows[240:400]]), None), *processor.handleInputRows((0,), iter([rows[400:]]), None)])
+    assert processor.blocks.calls <= 16 and sorted(found["raw_id"]) == list(range(600))
+    assert list(found.columns) == stateful.OUTPUT.names
+    series = rows.groupby(["source_file", "engine_id"])["s2"]
+    wanted = series.transform(lambda s: s.rolling(5, 1).mean())
+    assert np.allclose(found.sort_values("raw_id")["rolling_avg_s2"], wanted)
