@@ -108,3 +108,23 @@ def test_one_class_empty_tables_and_unlabelled_rows(spark):
     with pytest.raises(ValueError, match="at least one input"):
         boosting.fit(spark.createDataFrame([], schema), [])
     assert math.isinf(boosting.BoostedTrees(["a"], [np.array([1.0])], 0.0, 1, [boosting.Tree(np.array([0, -1, -1]), np.array([2, 0, 0]), np.ones(3, bool), np.zeros(3))]).nodes(spark).first().cut)
+
+
+def test_a_batch_is_counted_in_one_go(spark, monkeypatch):
+    """The cost of a batch does not grow with inputs x cells: one run along the cells for each sum, not one for each input."""
+    names, calls = [f"x{i}" for i in range(12)], []
+    rows = [(i % 2, *[float((i * (k + 3)) % 17) for k in range(12)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "label int, " + ", ".join(f"{n} double" for n in names)).coalesce(1)
+    model = boosting.BoostedTrees(names, [np.arange(16.0)] * 12, 0.0, 2)
+    binned = boosting._binned_rows(df, model, "label")
+    taken = []
+    monkeypatch.setattr(binned.__class__, "mapInArrow", lambda self, function, schema: taken.append(function) or self)
+    monkeypatch.setattr(binned.__class__, "groupBy", lambda self, *keys: self)
+    monkeypatch.setattr(binned.__class__, "agg", lambda self, *sums: self)
+    boosting.histograms(binned, model, [], boosting.Tree.blank(2), 0)
+    monkeypatch.undo()
+    batch = binned.toArrow().to_batches()[0]
+    plain = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    cells = list(taken[0](iter([batch])))
+    assert len(calls) == 3 and sum(cells[0]["n"].to_pylist()) == 60 * 12
