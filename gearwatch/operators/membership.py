@@ -20,15 +20,15 @@ def buckets_for(rows: int) -> int:
 
 
 def _hashes(keys: list[str]) -> list[Column]:
-    """Three hashes of the key's text; whole numbers of different widths hash alike."""
+    """A hash of the key's text, its first bit and the step to the next; whole numbers of different widths hash alike."""
     texts = [F.col(c).cast("string") for c in keys]
-    return [F.xxhash64(F.lit(salt), *texts).alias(name) for salt, name in enumerate(("_at", "_start", "_step"))]
+    at, start, step = (F.xxhash64(F.lit(salt), *texts) for salt in range(3))
+    return [at.alias("_at"), F.pmod(start, F.lit(BITS)).alias("_start"), (F.pmod(step, F.lit(BITS // 2)) * 2 + 1).alias("_step")]
 
 
 def _positions() -> Column:
     """The bits of a key. The step is odd, so they differ."""
-    start, step = F.pmod("_start", F.lit(BITS)), F.pmod("_step", F.lit(BITS // 2)) * 2 + 1
-    return F.array(*[(start + k * step) % BITS for k in range(SET_BITS)])
+    return F.array(*[(F.col("_start") + k * F.col("_step")) % BITS for k in range(SET_BITS)])
 
 
 def build_filter(rows: DataFrame, keys: list[str], count: int) -> DataFrame:
@@ -48,8 +48,9 @@ def possible(rows: DataFrame, keys: list[str], filters: DataFrame) -> DataFrame:
     """
     further = [c for c in filters.columns if c not in ("buckets", "bucket", "bits")]
     sizes = sorted(r[0] for r in filters.select("buckets").distinct().collect())  # at most one per power of two
-    asked = (rows.dropna(subset=keys).select(*keys, *_hashes(keys)).withColumn("_positions", _positions())
+    asked = (rows.dropna(subset=keys).select(*keys, *_hashes(keys))
              .withColumn("buckets", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes]).cast("array<bigint>")))
              .withColumn("bucket", F.col("_at").bitwiseAND(F.col("buckets") - 1)))
     every = F.expr("forall(_positions, p -> getbit(cast(conv(hex(substring(bits, cast(p div 8 as int) + 1, 1)), 16, 10) as bigint), cast(p % 8 as int)) = 1)")
-    return asked.join(filters, ["buckets", "bucket"]).filter(every).select(*further, *keys)
+    # The bits are worked out behind the join, so a key is moved as three numbers.
+    return asked.join(filters, ["buckets", "bucket"]).withColumn("_positions", _positions()).filter(every).select(*further, *keys)

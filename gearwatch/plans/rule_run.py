@@ -13,12 +13,11 @@ from gearwatch.operators.clean import clean_telemetry
 from gearwatch.operators.features import build_features, last_rows, latest_per_key
 from gearwatch.operators.scoring import score_alerts, score_risk
 from gearwatch.operators.skew import HOT_ROWS, broadcast_if_small
-from gearwatch.plans.store import Store, utc_now
+from gearwatch.plans.store import TAIL_ROWS, Store, utc_now
 from gearwatch.schema import CYCLE, ENGINE, KEY, SOURCE, Thresholds
 
-
-#: Readings per key that a run keeps for the next one; a longer look-back reads the whole history.
-TAIL_ROWS = max(50, S.CONTEXT_ROWS)
+#: A run writes a tail when it looks back on more readings behind the last one than this many times its own.
+LOOK_BACK = 4
 
 
 def new_rows(raw: DataFrame, after: int, up_to: int | None = None) -> DataFrame:
@@ -48,12 +47,16 @@ def context_rows(raw: DataFrame, batch: DataFrame, checkpoint: int, rows: int) -
     return last_rows(history, rows).join(keys, KEY, "left_semi")
 
 
-def newest_readings(store: Store, tail: DataFrame | None, batch: DataFrame, high: int) -> DataFrame:
-    """The newest ``TAIL_ROWS`` readings per key up to id ``high``: what the next run looks back on.
+def newest_readings(store: Store, checkpoint: int, rows: int, run_id: int) -> DataFrame:
+    """Readings up to the checkpoint that hold the newest ``TAIL_ROWS`` of every key.
 
-    Made from the last run's tail and the batch, so its cost does not grow with the history.
+    Where many have come since the last tail, beside the tail and this run's ``rows``, they are cut to a new
+    tail first. So what a run reads does not grow with the history, and few runs write a tail.
     """
-    return last_rows(store.raw_between(0, high) if tail is None else tail.unionByName(batch), TAIL_ROWS)
+    history, held, behind = store.look_back(checkpoint)
+    if behind <= max(LOOK_BACK * rows, held):
+        return history
+    return store.write("tails", last_rows(history, TAIL_ROWS), run_id)
 
 
 def only_new(features: DataFrame, after: int) -> DataFrame:
@@ -131,10 +134,8 @@ def run_rule_scoring(store: Store, run_type: str = "manual", window_cycles: int
         facts = {"raw_rows_used": rows, "from_raw_id": low, "to_raw_id": high}
         batch, context_count = store.raw_between(before, high), 0
         frame = batch
-        tail = store.tail(at["last_working_run"]) if before > 0 else None
-        store.write("tails", newest_readings(store, tail, batch, high), run_id)
         if before > 0 and window_cycles > 0:
-            history = tail if tail is not None and window_cycles <= TAIL_ROWS else store.raw()
+            history = newest_readings(store, before, rows, run_id) if window_cycles <= TAIL_ROWS else store.raw()
             context = store.write("context", context_rows(history, batch, before, window_cycles), run_id)
             context_count = context.count()
             frame = context.unionByName(batch)

@@ -18,14 +18,21 @@ from gearwatch.functions.display import TIME_TEXT
 from gearwatch.functions.messages import accepted, rejected
 from gearwatch.operators.clean import first_by
 from gearwatch.operators.membership import build_filter, possible
-from gearwatch.operators.skew import broadcast_if_small
+from gearwatch.operators.features import last_rows
+from gearwatch.operators.skew import BROADCAST_ROWS, broadcast_if_small
 from gearwatch.plans import totals
 from gearwatch.schema import CYCLE, KEY, NATURAL_KEY, READINGS
-from gearwatch.session import path_exists, tune
+from gearwatch.session import folder_names, path_exists, tune
 
 #: Ingests after which one writes the marks of all keys again.
 MARK_FOLDERS = 16
+#: Late rows that are looked up in all filters before the others are.
+PROBE_ROWS = 1000
+COMPRESSION = "zstd"
+#: Readings per key that a tail holds for the runs after it; a longer look-back reads the whole history.
+TAIL_ROWS = max(50, S.CONTEXT_ROWS)
 
+_PLACE = ["_part", "_place"]
 _MARKS = T.StructType([f for f in S.RAW.fields if f.name in NATURAL_KEY])
 _BY_RUN = {"processed": S.PROCESSED, "predictions": S.PREDICTIONS, "alerts": S.ALERTS, "context": S.RAW, "tails": S.RAW}
 _FILTERS = T.StructType([T.StructField("buckets", T.LongType()), T.StructField("bucket", T.LongType()), T.StructField("bits", T.BinaryType())])
@@ -132,9 +139,15 @@ class Store:
         """Raw folders that may hold a natural key of ``rows``: those whose filter has it, and those without a filter."""
         ingests = self.ingests().filter("inserted > 0").select("ingest_id")
         filters = self._by_ingest("filters")
-        unfiltered = ingests.join(filters.select("ingest_id").distinct(), "ingest_id", "left_anti")
-        hits = possible(rows, NATURAL_KEY, filters).select("ingest_id").distinct()
-        return [f"{self.root}/raw/ingest_id={r[0]}" for r in hits.unionByName(unfiltered).collect()]
+        every = {r[0] for r in ingests.collect()}
+        known = {r[0] for r in ingests.join(filters.select("ingest_id").distinct(), "ingest_id", "left_anti").collect()}
+        # A redelivery hits its folders with any few rows; only the other filters are searched for all rows.
+        for asked in (F.broadcast(rows.select(*NATURAL_KEY).limit(PROBE_ROWS)), rows):
+            if known == every:
+                break
+            left = filters.filter(~F.col("ingest_id").isin(*known)) if known else filters
+            known |= {r[0] for r in possible(asked, NATURAL_KEY, left).select("ingest_id").distinct().collect()}
+        return [f"{self.root}/raw/ingest_id={i}" for i in sorted(known)]
 
     def ingest(self, batch: DataFrame, ingest_id: str, now: datetime | None = None) -> dict:
         """Insert the first arrival of every absent natural key; return the counters.
@@ -160,12 +173,14 @@ class Store:
         batch = self._staged(batch, "classified", ingest_id)
         ok = F.col("reject_reason").isNull()
         consumed, skipped = batch.agg(F.count_if(ok), F.count_if(~ok)).first()
-        valid = accepted(batch).select("arrival_seq", "arrival_part", *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
-        firsts = first_by(valid, NATURAL_KEY, [F.col("arrival_seq"), F.col("arrival_part")])
+        valid = self._with_places(accepted(batch))
+        slim = valid.select("arrival_seq", "arrival_part", *NATURAL_KEY, *_PLACE)
+        firsts = first_by(slim, NATURAL_KEY, [F.col("arrival_seq"), F.col("arrival_part")])
         new = self.absent(self._staged(firsts, "firsts", ingest_id)) if base else firsts
         path = f"{self.root}/raw/ingest_id={ingest_id}"
-        (self._with_ids(new, base, ingest_id).select(*S.RAW.names)
-         .sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path))
+        rows = valid.select(*_PLACE, *NATURAL_KEY, *READINGS, F.col("inserted_at").cast("timestamp"))
+        (rows.join(self._ids(new, base, ingest_id), _PLACE).select(*S.RAW.names)
+         .sortWithinPartitions(*NATURAL_KEY).write.mode("overwrite").parquet(path, compression=COMPRESSION))
         written = self.spark.read.schema(S.RAW).parquet(path)
         inserted, low, high = written.agg(F.count(F.lit(1)), F.min("raw_id"), F.max("raw_id")).first()
         if inserted and (low, high) != (base + 1, base + inserted):
@@ -186,25 +201,37 @@ class Store:
         return row
 
     def _staged(self, df: DataFrame, step: str, ingest_id: str) -> DataFrame:
-        """A step of an ingest, written and read back; an ingest that is tried again writes it anew."""
+        """A step of an ingest, written and read back; an ingest that is tried again writes it anew.
+
+        Every task writes one file, so the number of a file and the place in it tell rows apart.
+        """
         path = f"{self.root}/staging/{step}/ingest_id={ingest_id}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(path, compression=COMPRESSION)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _with_ids(self, new: DataFrame, base: int, ingest_id: str) -> DataFrame:
-        """``new`` with consecutive raw ids above ``base`` in arrival order.
+    def _with_places(self, staged: DataFrame) -> DataFrame:
+        """Staged rows with the number of their file and their place in it."""
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+        return staged.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_place"))
+
+    def _ids(self, new: DataFrame, base: int, ingest_id: str) -> DataFrame:
+        """The places of ``new`` with consecutive raw ids above ``base`` in arrival order.
 
-        The rows are written in order; a row's id is its place in its file behind the rows of
-        the files before it. The files are fixed, so a retried task gives the same ids.
+        Only keys and places are put in order and written; a row's id is its place in the
+        ordered files. The files are fixed, so a retried task gives the same ids. The
+        readings are joined to them by place, so they are shuffled once, and not at all where
+        the ids can be sent to every task.
         """
-        ordered = self._staged(new.orderBy("arrival_seq", "arrival_part", *NATURAL_KEY), "ordered", ingest_id)
-        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
-        placed = ordered.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_place"))
+        ordered = self._staged(new.orderBy("arrival_seq", "arrival_part", *NATURAL_KEY).select(*[F.col(c).alias(f"_from{c}") for c in _PLACE]), "ordered", ingest_id)
+        placed = self._with_places(ordered)
         before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row per file
         starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size")).select(
             "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
         starts, _ = broadcast_if_small(starts)
-        return placed.join(starts, "_part").withColumn("raw_id", F.col("_before") + F.col("_place") + F.lit(base + 1))
+        numbered = placed.join(starts, "_part").select(
+            *[F.col(f"_from{c}").alias(c) for c in _PLACE], (F.col("_before") + F.col("_place") + F.lit(base + 1)).alias("raw_id"))
+        # Places are spread evenly, and a part of the ids is far smaller than that of the readings.
+        return F.broadcast(numbered) if ordered.count() <= BROADCAST_ROWS else numbered.hint("shuffle_hash")
 
     # -- run log ----------------------------------------------------------------------------
 
@@ -259,13 +286,28 @@ class Store:
         """Write one table of a run; returns the written rows, read back."""
         path = f"{self.root}/{table}/run_id={run_id}"
         schema = _BY_RUN[table]
-        df.select(*schema.names).write.mode("overwrite").parquet(path)
+        df.select(*schema.names).write.mode("overwrite").parquet(path, compression=COMPRESSION)
         return self.spark.read.schema(schema).parquet(path)
 
+    def look_back(self, up_to: int, run_id: int | None = None) -> tuple[DataFrame, int, int]:
+        """Readings up to an id that hold the newest of every key; the rows of the tail among them, and all others.
+
+        These are the newest tail that a committed run up to ``run_id`` left and the readings behind
+        its last id. Readings below that id which are not in the tail are no newest ones.
+        """
+        done = {r.run_id for r in self.committed_runs().filter(F.col("checkpoint_after") <= up_to).select("run_id").collect()}
+        names = folder_names(self.spark, f"{self.root}/tails")
+        left = [n for n in (int(name.split("=")[1]) for name in names if name.startswith("run_id=")) if n in done and (run_id is None or n <= run_id)]
+        if not left:
+            return self.raw_between(0, up_to), 0, up_to
+        tail = self.of_run("tails", max(left))
+        held, last = tail.agg(F.count(F.lit(1)), F.coalesce(F.max("raw_id"), F.lit(0))).first()
+        return tail.unionByName(self.raw_between(last, up_to)), held, up_to - last
+
     def tail(self, run_id: int | None) -> DataFrame | None:
-        """The newest readings per key as a run left them, or None when it left none."""
-        path = f"{self.root}/tails/run_id={run_id}"
-        return self.spark.read.schema(S.RAW).parquet(path) if run_id is not None and path_exists(self.spark, path) else None
+        """The newest readings per key as of a run, or None when there is no such run."""
+        run = self.committed_runs().filter(F.col("run_id") == run_id).first() if run_id is not None else None
+        return last_rows(self.look_back(run.checkpoint_after, run_id)[0], TAIL_ROWS) if run and run.checkpoint_after is not None else None
 
     def committed_runs(self) -> DataFrame:
         """The final row of every successful run."""

@@ -85,3 +85,14 @@ def test_random_arrivals_keep_each_reading_once(spark, tmp_path, make):
     raw = store.raw().collect()
     assert {(r.engine_id, r.time_in_cycles): r.s2 for r in raw} == truth and len(raw) == len(truth)
     assert sorted(r.raw_id for r in raw) == list(range(1, len(raw) + 1))
+
+
+def test_a_redelivery_searches_no_filter_for_all_rows(store, make, monkeypatch):
+    from gearwatch.plans import store as module
+    asked = []
+    monkeypatch.setattr(module, "possible", lambda rows, keys, filters: asked.append(rows) or possible(rows, keys, filters))
+    again = make([reading(7, e, c, 1) for e in (1, 2, 3) for c in (5, 9)])
+    assert store.absent(again).count() == 0 and len(asked) == 1
+    monkeypatch.setattr(module, "PROBE_ROWS", 1)
+    asked.clear()
+    assert store.absent(again).count() == 0 and len(asked) == 2

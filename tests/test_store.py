@@ -11,7 +11,8 @@ from gearwatch.operators.quality import audit_store
 from gearwatch.plans import rule_run
 from gearwatch.plans.rule_run import context_rows, late_rows, recompute_keys, rows_of_batch, run_rule_scoring
 from gearwatch.plans.store import Store
-from gearwatch.schema import DERIVED, NATURAL_KEY
+from gearwatch.schema import DERIVED, NATURAL_KEY, READINGS
+from gearwatch.session import folder_names
 from gearwatch.sources.fixtures import telemetry
 from conftest import reading
 
@@ -243,3 +244,41 @@ def test_marks_are_folded(store, make, monkeypatch):
         assert {r.engine_id: r._mark for r in store.newest_cycles().collect()} == truth
     assert store.ingests().filter("full_marks = 1").count() >= 2
     assert store.raw().groupBy(*NATURAL_KEY).count().filter("count > 1").count() == 0
+
+
+def test_an_ingest_moves_the_readings_once(spark, store, make):
+    """Keys and places are put in order; the readings are staged as they came and joined to their ids."""
+    store.ingest(make(arrivals([reading(None, e, c, 10 * e + c) for e in (1, 2) for c in (1, 2, 3)])), "a", T1)
+    again = [reading(None, 3, 1, 31), reading(None, 1, 2, 99), reading(None, 3, 1, 98), reading(None, 2, 0, 20)]
+    assert store.ingest(make(arrivals(again, 10)).repartition(3), "b", T1)["inserted"] == 2
+    for step in ("firsts", "ordered"):
+        columns = spark.read.parquet(f"{store.root}/staging/{step}/ingest_id=b").columns
+        assert columns and not set(columns) & set(READINGS)
+    raw = {r.raw_id: (r.engine_id, r.time_in_cycles, r.s2, r.s21) for r in store.raw().collect()}
+    assert raw == {**{i + 1: (e, c, 10.0 * e + c, 10.0 * e + c) for i, (e, c) in enumerate((e, c) for e in (1, 2) for c in (1, 2, 3))},
+                   7: (3, 1, 31.0, 31.0), 8: (2, 0, 20.0, 20.0)}
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_ids_do_not_depend_on_how_they_are_joined(spark, store, folder, monkeypatch, limit):
+    from gearwatch.plans import store as module
+    monkeypatch.setattr(module, "BROADCAST_ROWS", limit)
+    rows = telemetry(spark, folder).withColumn("arrival_seq", F.col("raw_id") - 1)
+    store.ingest(rows.drop("raw_id").repartition(7, "s3"), "a", T1)
+    wanted = sorted((r.raw_id, *(getattr(r, c) for c in NATURAL_KEY), r.s2) for r in rows.collect())
+    assert [(r.raw_id, *(getattr(r, c) for c in NATURAL_KEY), r.s2) for r in store.raw().orderBy("raw_id").collect()] == wanted
+
+
+def test_a_tail_is_written_only_where_much_is_behind_it(store, make):
+    """Runs of like size read the readings behind the last tail; a small run after large ones begins a new tail."""
+    names, rows, first = [], [reading(None, e, c, (c * 7) % 13) for c in range(1, 61) for e in (1, 2)], 0
+    for k, size in enumerate((80, 20, 4, 4)):
+        store.ingest(make(arrivals(rows[first:first + size], first)), f"i{k}", T1)
+        first += size
+        assert run_rule_scoring(store, now=T1)["context_rows"] == (0, 80, 100, 100)[k]
+        names.append(folder_names(store.spark, f"{store.root}/tails"))
+    assert sorted(r.raw_id for r in store.tail(4).collect()) == list(range(first - 100 + 1, first + 1))
+    assert names == [[], [], ["run_id=3"], ["run_id=3"]]
+    whole = build_features(clean_telemetry(store.raw(), unique_ids=True)).orderBy("raw_id").select(*DERIVED).collect()
+    got = store.processed().orderBy("raw_id").select(*DERIVED).collect()
+    np.testing.assert_allclose(np.array(got, float), np.array(whole, float), atol=1e-9)
