@@ -49,7 +49,7 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+")
 MARKS = frozenset(".,;:!?")
 GAPS = regex.compile(f"[{WHITE}]+")
-SEPARATORS = regex.compile("[\x1c-\x1f]")  # blanks for str.split, not for the tokenizer
+SEPARATORS = "\x1c\x1d\x1e\x1f"  # blanks for str.split, not for the tokenizer
 
 
 def byte_symbols() -> list[str]:
@@ -86,17 +86,17 @@ class Merges:
             raise KeyError(f"no symbol for a byte of {word!r}")
         if len(ids) > LONG_WORD:
             return self.merge_long(ids)
-        ranks, made = self.ranks, self.made
+        rank_of, made = self.ranks.get, self.made
         none = len(made)
-        waiting = [ranks.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        waiting = [rank_of(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while waiting and (rank := min(waiting)) < none:
             at = waiting.index(rank)
-            ids[at:at + 2] = [made[rank]]
-            del waiting[at]
+            new = ids[at] = made[rank]
+            del ids[at + 1], waiting[at]
             if at < len(waiting):
-                waiting[at] = ranks.get(ids[at] << 32 | ids[at + 1], none)
+                waiting[at] = rank_of(new << 32 | ids[at + 1], none)
             if at:
-                waiting[at - 1] = ranks.get(ids[at - 1] << 32 | ids[at], none)
+                waiting[at - 1] = rank_of(ids[at - 1] << 32 | new, none)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
@@ -204,7 +204,7 @@ class Lexicon:
 
 def pieces(text: str) -> list[str]:
     """The text between white space."""
-    return [p for p in GAPS.split(text) if p] if SEPARATORS.search(text) else text.split()
+    return [p for p in GAPS.split(text) if p] if any(c in text for c in SEPARATORS) else text.split()
 
 
 def words_of(piece: str) -> list[bytes]:
@@ -226,17 +226,20 @@ class Encoder:
         self.cache: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}  # the cache before it was last full
         self.words: dict[bytes, tuple[int, str, str]] = {}
+        self.older_words: dict[bytes, tuple[int, str, str]] = {}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True))) + ")") if merges.special else None
 
     def word(self, word: bytes) -> tuple[int, str, str]:
         """Number of ids, ids and tokens of a word, joined by blanks."""
         if (known := self.words.get(word)) is None:
-            ids = self.lexicon.ids_of(word) if self.lexicon else None
-            if ids is None:
-                ids = self.merges.merge(word)
+            if (known := self.older_words.get(word)) is None:
+                ids = self.lexicon.ids_of(word) if self.lexicon else None
+                if ids is None:
+                    ids = self.merges.merge(word)
+                known = len(ids), " ".join(map(str, ids)), self.decode(ids) if self.decodes else ""
             if len(self.words) >= CACHE:
-                self.words.clear()
-            known = self.words[word] = len(ids), " ".join(map(str, ids)), self.decode(ids) if self.decodes else ""
+                self.older_words, self.words = self.words, {}
+            self.words[word] = known
         return known
 
     def piece(self, text: str) -> tuple[int, str, str]:
@@ -244,24 +247,32 @@ class Encoder:
         words = [self.word(word) for word in words_of(text)]
         if len(words) == 1:
             return words[0]
-        return sum(n for n, _, _ in words), " ".join([ids for _, ids, _ in words]), " ".join([tokens for _, _, tokens in words]) if self.decodes else ""
+        if len(words) == 2:  # a word and the mark behind it
+            (n, ids, tokens), (m, more, others) = words
+            return n + m, f"{ids} {more}", f"{tokens} {others}" if self.decodes else ""
+        return sum([n for n, _, _ in words]), " ".join([ids for _, ids, _ in words]), " ".join([tokens for _, _, tokens in words]) if self.decodes else ""
+
+    def at_hand(self, text: str) -> tuple[int, str, str]:
+        """The same of a piece that is kept from now on."""
+        if (known := self.cache.get(text)) is None:
+            if len(self.cache) >= CACHE:
+                self.older, self.cache = self.cache, {}
+            known = self.cache[text] = self.older.get(text) or self.piece(text)
+        return known
 
     def parts(self, text: str | None) -> list[tuple[int, str, str]]:
         if not text:
             return []
-        found, cache = [], self.cache
-        for part in self.special.split(text) if self.special and self.special.search(text) else (text,):
+        found = []
+        for part in self.special.split(text) if any(token in text for token in self.merges.special) else (text,):
             if part in self.merges.special:
                 found.append((1, str(self.merges.special[part]), part))
                 continue
-            for piece in pieces(part):
-                if (known := cache.get(piece)) is None:
-                    if len(cache) >= CACHE:
-                        self.older, self.cache = cache, {}
-                        cache = self.cache
-                    known = cache[piece] = self.older.get(piece) or self.piece(piece)
-                if known[0]:
-                    found.append(known)
+            every = pieces(part)
+            known = list(map(self.cache.get, every))
+            if None in known:
+                known = [self.at_hand(piece) if k is None else k for piece, k in zip(every, known)]
+            found += [k for k in known if k[0]]
         return found
 
     def encode(self, text: str | None) -> list[int]:
@@ -342,7 +353,7 @@ def encoded(docs: DataFrame, path: str, result: dict, schema: str, limit: int =
 
 
 def token_count(parts: list) -> int:
-    return sum(n for n, _, _ in parts)
+    return sum([n for n, _, _ in parts])
 
 
 def digest(place: int):

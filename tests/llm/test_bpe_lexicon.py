@@ -85,3 +85,14 @@ def test_records_and_lexicon_size(spark, library, monkeypatch):
 def test_most_frequent_words(spark):
     docs = table(spark, ["the cat the dog the", "cat The", None, "dog, cat."])
     assert E.frequent_words(docs, 3) == [b"the", b"cat", b"dog"]
+
+
+def test_a_full_cache_keeps_the_words_before(monkeypatch):
+    """Words met shortly before the cache was full are not merged again."""
+    monkeypatch.setattr(E, "CACHE", 4)
+    encoder, asked = E.Encoder(E.Merges(PATH)), []
+    merge = encoder.merges.merge
+    monkeypatch.setattr(encoder.merges, "merge", lambda word: asked.append(word) or merge(word))
+    words = [b"qwone", b"qwtwo", b"qwthree", b"qwfour", b"qwfive", b"qwfour", b"qwfive"]
+    found = [encoder.word(word) for word in words]
+    assert asked == words[:5] and found[3] == found[5] and found[4] == found[6]
