@@ -103,11 +103,16 @@ def node_of(digests: pa.Array) -> np.ndarray:
 
 
 def chained(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of equal key linked in a row: (key, a, b) with b valid where the flag is set; heads have no b."""
+    """Rows of equal key linked in a row: (key, a, b) with b valid where the flag is set; heads have no b.
+
+    Rows come back in the order they came in. A text's rows stand side by side there, so the shuffle
+    behind it compresses their node; ordered by key, no two neighbours have anything in common.
+    """
     order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    same = np.append(False, keys[1:] == keys[:-1])
-    return keys, nodes, np.append(nodes[:1], nodes[:-1]), same
+    other, same = np.empty_like(nodes), np.empty(len(keys), bool)
+    other[order] = np.append(nodes[order[:1]], nodes[order[:-1]])
+    same[order] = np.append(False, keys[order[1:]] == keys[order[:-1]])
+    return keys, nodes, other, same
 
 
 def band_edges(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

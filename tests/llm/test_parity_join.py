@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from gearwatch.llm import components, parity_join
@@ -102,3 +103,16 @@ def test_linked_sets_share_a_band():
         common = len(np.intersect1d(a, b))
         if 100 * common >= 85 * (len(a) + len(b) - common):
             assert set(parity_join.band_keys(a).tolist()) & set(parity_join.band_keys(b).tolist())
+
+
+def test_chained_rows_stay_in_order():
+    """The rows of a text stay side by side, so that the shuffle of the bands compresses them."""
+    rng = np.random.default_rng(5)
+    nodes = np.repeat(rng.permutation(40), 25).astype(np.int64)
+    keys = rng.integers(0, 300, len(nodes))
+    key, a, b, same = parity_join.chained(keys, nodes)
+    assert (key == keys).all() and (a == nodes).all()
+    for k in np.unique(keys):
+        here = sorted(nodes[keys == k])
+        linked = sorted((x, y) for x, y, s in zip(a[key == k], b[key == k], same[key == k]) if s)
+        assert linked == sorted(zip(here[1:], here)) and (key[~same] == k).sum() == 1
