@@ -26,14 +26,23 @@ from gearwatch.llm.common import let, ranked, written
 
 PERIOD = 1000
 BLOCK_DOCS = 8
+#: Under this name the metadata of the column ``source`` hold the slots that a mix was decided on.
+NOTE = "mix"
 
 
 def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source), F.lit(""))
 
 
-def shares(counts: DataFrame, weights: dict[str, float] | None, period: int = PERIOD) -> DataFrame:
-    """(key, rows, slots): whole slots per period from the given weights, or from the root of the counts."""
+def shares(counts: DataFrame, weights: dict[str, float] | None, period: int = PERIOD, decided: dict[str, int] | None = None) -> DataFrame:
+    """(key, rows, slots): whole slots per period from the given weights, or from the root of the counts.
+
+    ``decided`` has the slots of sources for which that was done before; it comes first, and any other source gets one.
+    """
+    if decided is not None:
+        spark = counts.sparkSession
+        known = spark.createDataFrame(list(decided.items()), "key string, slots long")
+        return counts.join(F.broadcast(known), "key", "left").select("key", "rows", F.coalesce("slots", F.lit(1).cast("long")).alias("slots"))
     if weights is None:
         size = F.floor(F.sqrt("rows") * 1000)
     else:
@@ -76,7 +85,8 @@ def numbered(docs: DataFrame, parts: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(starts), "_key").withColumn("_number", F.col("_place") - F.col("_start")).drop("_place", "_start")
 
 
-def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS, tie: Column | None = None) -> DataFrame:
+def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS, tie: Column | None = None,
+           decided: dict[str, int] | None = None) -> DataFrame:
     """``docs`` (doc_id, source, text, ...) with _block, _release, _deadline, _slot, _position and _in_mix.
 
     Where ``docs`` has no text any more, ``tie`` is the hash of it, by which equal ids are ordered.
@@ -84,7 +94,7 @@ def placed(docs: DataFrame, weights: dict[str, float] | None = None, period: int
     # The row travels as one column, so its own names cannot clash with those used here.
     keyed = docs.select(F.struct("*").alias("row"), "doc_id", source_key(F.col("source")).alias("_key"), (F.xxhash64("text") if tie is None else tie).alias("_hash"))
     counts = docs.groupBy(source_key(F.col("source")).alias("key")).agg(F.count("*").alias("rows"))
-    parts = written(shares(counts, weights, period), "mix-shares")
+    parts = written(shares(counts, weights, period, decided), "mix-shares")
     # One row per slot of a period: at most 1,000 and one for each source.
     table = written(timetable(parts), "mix-timetable")
     ends = parts.withColumn("missing", F.expr(f"(rows + {block_docs - 1}) div {block_docs}L")).join(F.broadcast(table), ["key", "slots"]).filter("missing % slots = nth")
@@ -111,11 +121,24 @@ def with_positions(docs: DataFrame, weights: dict[str, float] | None = None) ->
 
     Sorted by position, each beginning of the rows with in_mix has the sources' target weights, whatever
     order the rows are stored in. Positions are distinct; a source's last block may leave some out.
+    Without ``weights`` the slots hold that ``in_schedule_order`` noted on the source, if it did.
     """
-    return placed(docs, weights).select(*docs.columns, F.col("_position").alias("position"), F.col("_in_mix").alias("in_mix"))
+    noted = docs.schema["source"].metadata.get(NOTE) if weights is None else None
+    decided = dict(zip(noted["keys"], noted["slots"])) if noted else None
+    return placed(docs, weights, decided=decided).select(*docs.columns, F.col("_position").alias("position"), F.col("_in_mix").alias("in_mix"))
 
 
 def in_schedule_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """All of ``docs``, in the order of the schedule: written files follow one another in it."""
+    """All of ``docs``, in the order of the schedule: written files follow one another in it.
+
+    The slots of each source are noted in the metadata of the column ``source``, which written files keep.
+    There is one entry per source, as in the timetable.
+    """
+    # Slots are decided once: what is noted is what orders the rows.
+    counts = docs.groupBy(source_key(F.col("source")).alias("key")).agg(F.count("*").alias("rows"))
+    parts = shares(counts, weights).select("key", "slots").orderBy("key").collect()
+    decided = {r.key: r.slots for r in parts}
     packed = docs.select(F.struct("*").alias("packed"), "doc_id", "source", "text")
-    return placed(packed, weights).sort("_position").select("packed.*")
+    ordered = placed(packed, decided=decided).sort("_position").select("packed.*")
+    note = {**docs.schema["source"].metadata, NOTE: {"keys": list(decided), "slots": list(decided.values())}}
+    return ordered.withMetadata("source", note) if decided else ordered

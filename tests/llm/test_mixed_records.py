@@ -46,3 +46,19 @@ def test_mix_does_not_depend_on_the_order_of_files(spark, folder, parts):
     assert counts == sizes and inside["big"] / inside.total() < 0.95 * sizes["big"] / sum(sizes.values())
     place = {r.doc_id: (r._position, r._in_mix) for r in pfair_mix.placed(docs).collect()}
     assert {r.doc_id: (r.position, r.in_mix) for r in found} == place
+
+
+def test_records_follow_the_slots_of_the_mixing_stage(spark, folder, tmp_path):
+    """What the mixing stage decides places the records, also behind files read in another order."""
+    rows = [(i, f"text {i}", "en", s, 6) for i, s in enumerate(s for s, n in {"a": 400, "b": 400, None: 80}.items() for _ in range(n))]
+    docs, weights = spark.createDataFrame(rows, SCHEMA), {"a": 0.7, "b": 0.2}
+    mixed = pfair_mix.in_schedule_order(docs, weights)
+    assert mixed.columns == docs.columns
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    read = spark.read.parquet(f"{tmp_path}/mixed").repartition(5)
+    found = corpus_pipeline.tokens(spark, read, folder).collect()
+    place = {r.doc_id: (r._position, r._in_mix) for r in pfair_mix.placed(docs, weights).collect()}
+    assert {r.doc_id: (r.position, r.in_mix) for r in found} == place
+    assert place != {r.doc_id: (r._position, r._in_mix) for r in pfair_mix.placed(docs).collect()}
+    inside = Counter(r.source for r in found if r.position < 400)
+    assert abs(inside["a"] - 400 * 7 / 9) < pfair_mix.BLOCK_DOCS
