@@ -24,9 +24,11 @@ def ingest_stream(store: Store, arrivals: DataFrame, feed: str, checkpoint: str,
 
     Offsets advance after the table commit. A batch that is repeated is recognised by its id,
     and redelivered readings by their natural key. ``drain`` stops when the source is used up.
+    Messages are dealt to all cores before they are parsed: a batch has few files, of any size.
     """
     def commit(batch: DataFrame, batch_id: int) -> None:
-        store.ingest(parse_messages(batch, default_source=default_source), f"{feed}-{batch_id}")
+        dealt = batch.repartition(store.spark.sparkContext.defaultParallelism)
+        store.ingest(parse_messages(dealt, default_source=default_source), f"{feed}-{batch_id}")
 
     writer = arrivals.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)

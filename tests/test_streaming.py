@@ -27,6 +27,16 @@ def test_stream_is_ingested_once(spark, folder, tmp_path):
     assert ids == counts[1]
 
 
+def test_messages_of_one_file_are_parsed_by_all_cores(spark, folder, tmp_path):
+    store, files = Store(spark, str(tmp_path / "store")).create(), str(tmp_path / "in")
+    messages(spark, folder).coalesce(1).write.parquet(files)
+    ingest_stream(store, read_message_files(spark, files), "a", str(tmp_path / "a")).awaitTermination()
+    parsed = spark.read.parquet(f"{store.root}/staging/classified/ingest_id=a-0").groupBy(F.input_file_name()).count().collect()
+    assert len(parsed) == spark.sparkContext.defaultParallelism and max(r["count"] for r in parsed) <= 2 * min(r["count"] for r in parsed)
+    ids = store.raw().agg(F.min("raw_id"), F.max("raw_id"), F.count("raw_id")).first()
+    assert ids[0] == 1 and ids[1] == ids[2] and store.raw().orderBy("raw_id").select("time_in_cycles").take(2)[0][0] == 4
+
+
 def test_scoring_follows_the_ingests(spark, folder, tmp_path):
     store = Store(spark, str(tmp_path / "store")).create()
     rows = telemetry(spark, folder).withColumn("arrival_seq", F.col("raw_id") - 1).drop("raw_id")
