@@ -86,6 +86,29 @@ def test_metrics_by_hand(spark):
     assert metrics.binary_metrics(nothing).first() == (0.0, 0.0, 1.0)
 
 
+def test_training_rows_are_dealt_evenly(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ml, "DEALT_ABOVE", 100)
+    monkeypatch.setattr(ml, "FILE_ROWS", 60)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 500, 1, 1).selectExpr("id", "id % 2 AS label")
+    table = ml.training_table(rows, str(tmp_path / "large"), 500)
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) % cores == 0 and max(sizes) <= 70 and max(sizes) - min(sizes) <= 1 and sorted(r.id for r in table.collect()) == list(range(500))
+    read = table.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(read) % cores == 0 and max(read) - min(read) <= 4
+    small = ml.training_table(rows.limit(80), str(tmp_path / "small"), 80)
+    assert small.count() == 80 and len(small.inputFiles()) == 1
+
+
+def test_kept_node_ids_give_the_same_trees(spark, folder):
+    rows = ml.with_label(build_features(clean_telemetry(telemetry(spark, folder), unique_ids=True)), 2).cache()
+    kept, sent = (ml.train(rows, ml.forest(6, depth=6).setCacheNodeIds(keep)) for keep in (True, False))
+    assert ml.forest().getCacheNodeIds()
+    trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (kept, sent)]
+    assert trees[0] == trees[1] and "If" in trees[0]
+    rows.unpersist()
+
+
 def test_trained_run(spark, folder, tmp_path):
     features = build_features(clean_telemetry(telemetry(spark, folder), unique_ids=True))
     model = ml.train(ml.with_label(features, 2), ml.forest(trees=5, depth=4))
