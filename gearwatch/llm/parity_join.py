@@ -9,7 +9,9 @@ Bands without a token would agree everywhere. There are some bands more than D +
 leave as many empty bands out; one with more of them uses all, which finds others of that kind.
 
 Sets that agree in a band are candidates. Equal bands are chained: each set is compared with the
-next one only, within a task before the shuffle and between tasks behind it. Candidates pass a
+next one only, within a task before the shuffle and between tasks behind it. What passes the shuffle is
+packed, a row for all a task has for a partition, as rows of their own would take twice the space and more
+of it with every partition. Keys have 48 bits there: what meets by chance is one more candidate. Candidates pass a
 filter on sizes and on the Hamming distance of 2,048-bit sketches and are then verified on their
 shingles, first the nearest of each set, then those that would join different components. Bands in
 which a chain met two components are completed: all their pairs across components are compared, in
@@ -31,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gearwatch.llm.common import LAST, by_value, written
+from gearwatch.llm.common import LAST, by_value, shuffle_partitions, written, written_by
 from gearwatch.llm.components import components
 from gearwatch.llm.repeats import Words, by_document, distinct_texts, mixed, rolling
 
@@ -45,6 +47,8 @@ GROWTH = 1.5
 SKETCH_BITS = 2048
 #: Band rows that are chained together in a task, and members of a block of a band.
 CHAINED, BLOCK = 1_000_000, 256
+#: Bits and bytes of a band's key, and most partitions of the shuffle of the bands.
+KEY_BITS, KEY_BYTES, MOST_PARTS = 48, 6, 1 << 16
 
 
 def shingles(body: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -115,21 +119,46 @@ def chained(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, nodes, other, same
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of whole numbers: all first bytes, all second bytes and so on, so that equal ones stand side by side."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(content: bytes, width: int) -> np.ndarray:
+    found = np.zeros((len(content) // width, 8), np.uint8)
+    found[:, :width] = np.frombuffer(content, np.uint8).reshape(width, -1).T
+    return found.view("<u8").ravel()
+
+
+def packed(keys: np.ndarray, nodes: np.ndarray, other: np.ndarray, same: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """Rows of ``chained``: the keys of heads, the texts in a row that they belong to, how many each text has, and (key, a, b) of the links."""
+    heads = nodes[~same]
+    starts = np.flatnonzero(np.append(True, heads[1:] != heads[:-1])) if len(heads) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(starts, len(heads)))
+    links = np.stack([keys[same].astype(np.int64), nodes[same], other[same]])
+    return planes(keys[~same], KEY_BYTES), heads[starts].tobytes(), planes(counts, 4), links.tobytes()
+
+
 def band_edges(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(key, a, b): texts that agree in a band, each with the next one."""
+    parts = min(shuffle_partitions(texts.sparkSession), MOST_PARTS)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            key, node, other, same = chained(np.concatenate(keys), np.concatenate(nodes))
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(other, mask=~same)], ["key", "a", "b"])
+            columns = chained(np.concatenate(keys) >> np.uint64(64 - KEY_BITS), np.concatenate(nodes))
+            part = (columns[0] * np.uint64(parts)) >> np.uint64(KEY_BITS)
+            order = np.argsort(part, kind="stable")
+            firsts = np.flatnonzero(np.append(True, part[order[1:]] != part[order[:-1]]))
+            rows = [packed(*[c[here] for c in columns]) for here in np.split(order, firsts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(part[order[firsts]].astype(np.int32)), *[pa.array(column, pa.binary()) for column in zip(*rows)]], ["part", "keys", "texts", "counts", "links"])
 
         for batch in batches:
             for node, body in zip(node_of(batch.column(0)), batch.column(1)):
                 tokens = shingles(body.as_py(), shingle)
                 if len(tokens):
-                    keys.append(band_keys(tokens, percent).view(np.int64))
+                    keys.append(band_keys(tokens, percent))
                     nodes.append(np.full(len(keys[-1]), node))
                     held += len(keys[-1])
                 if held >= CHAINED:
@@ -138,40 +167,46 @@ def band_edges(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
         if held:
             yield flush()
 
+    def edges(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(key), CHAINED // 10):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at:at + CHAINED // 10].astype(np.int64)) for c in (key, a, b)], ["key", "a", "b"])
+
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
-            key, a = (batch.column(k).to_numpy() for k in (0, 1))
-            inner = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-            b = batch.column(2).fill_null(0).to_numpy()
-            heads, head_nodes = key[~inner], a[~inner]
-            if last is not None:
-                heads, head_nodes = np.append(last[0], heads), np.append(last[1], head_nodes)
-            same = heads[1:] == heads[:-1]
-            last = (heads[-1:], head_nodes[-1:]) if len(heads) else last
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key[inner], heads[1:][same]])), pa.array(np.concatenate([a[inner], head_nodes[1:][same]])),
-                 pa.array(np.concatenate([b[inner], head_nodes[:-1][same]]))], ["key", "a", "b"])
-
-    filed = texts.select("digest", "body").mapInArrow(file, "key long, a long, b long")
-    edges = filed.repartition("key").sortWithinPartitions("key").mapInArrow(chain, "key long, a long, b long")
-    return written(edges.select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b"), "band-edges")
+            for own, texts, counts, links in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3, 4)]):
+                keys.append(from_planes(own, KEY_BYTES))
+                nodes.append(np.repeat(np.frombuffer(texts, np.int64), from_planes(counts, 4).astype(np.int64)))
+                yield from edges(*np.frombuffer(links, np.int64).reshape(3, -1))
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        del keys, nodes
+        turns = -(-len(key) // CHAINED)  # so many at a time are put in order
+        for turn in range(turns):
+            here = np.flatnonzero(key % np.uint64(turns) == turn)
+            here = here[np.lexsort((node[here], key[here]))]
+            same = np.flatnonzero(key[here[1:]] == key[here[:-1]])
+            yield from edges(key[here[same]], node[here[same + 1]], node[here[same]])
+
+    filed = texts.select("digest", "body").mapInArrow(file, "part int, keys binary, texts binary, counts binary, links binary")
+    found = filed.repartitionById(parts, "part").mapInArrow(chain, "key long, a long, b long")
+    return written(found.select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b"), "band-edges")
 
 
 def candidates_of(texts: DataFrame, pairs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(node, size, sketch, body) of the texts in pairs, written."""
+    """(node, digest, size, sketch, body) of the texts in pairs, written in buckets of the digest as the texts are, so bodies are not moved."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     numbered = texts.select("digest", F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").alias("node"))
     wanted = numbered.join(ends, "node")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(body.as_py(), shingle) for body in batch.column(1)]
+            sets = [shingles(body.as_py(), shingle) for body in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch_of(s) for s in sets], pa.binary()), batch.column(1)],
-                ["node", "size", "sketch", "body"])
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch_of(s) for s in sets], pa.binary()), batch.column(2)],
+                ["node", "digest", "size", "sketch", "body"])
 
-    return written(texts.select("digest", "body").join(wanted, "digest").select("node", "body").mapInArrow(build, "node long, size long, sketch binary, body binary"), "candidates")
+    found = texts.select("digest", "body").join(wanted, "digest").select("node", "digest", "body")
+    return written_by(found.mapInArrow(build, "node long, digest binary, size long, sketch binary, body binary"), "digest", "candidates")
 
 
 def beside(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
@@ -212,7 +247,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, percent
             linked = np.array(linked, bool)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(name).to_numpy()[linked]) for name in ("a", "b")], ["a", "b"])
 
-    return written(beside(pairs.select("a", "b"), nodes, ["body"]).mapInArrow(check, "a long, b long"), "links")
+    # Bodies lie in buckets of the digest, so pairs go to the bodies; only the body of an end goes to the other one.
+    both = beside(pairs.select("a", "b"), nodes, ["digest"])
+    for end in "ab":
+        both = both.join(nodes.select(F.col("digest").alias(f"{end}_digest"), F.col("body").alias(f"{end}_body")), f"{end}_digest")
+    return written(both.select("a", "b", "a_body", "b_body").mapInArrow(check, "a long, b long"), "links")
 
 
 def labelled(frame: DataFrame, labels: DataFrame, ends: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gearwatch.llm import components, parity_join
 from tests.llm.helpers import corpus, odd_rows, prose, table, words
@@ -116,3 +117,39 @@ def test_chained_rows_stay_in_order():
         here = sorted(nodes[keys == k])
         linked = sorted((x, y) for x, y, s in zip(a[key == k], b[key == k], same[key == k]) if s)
         assert linked == sorted(zip(here[1:], here)) and (key[~same] == k).sum() == 1
+
+
+def test_packed_rows_come_back_and_stay_small():
+    """Rows of few texts each, as behind many partitions: a row of its own took 36 bytes before compression."""
+    rng = np.random.default_rng(6)
+    nodes = np.repeat(rng.integers(-2**63, 2**63, 300), rng.integers(1, 4, 300))
+    keys = rng.integers(0, 2**parity_join.KEY_BITS, len(nodes)).astype(np.uint64)
+    keys[40:60] = keys[0]
+    columns = parity_join.chained(keys, nodes)
+    same = columns[3]
+    own, texts, counts, links = parity_join.packed(*columns)
+    assert (parity_join.from_planes(own, parity_join.KEY_BYTES) == keys[~same]).all()
+    assert (np.repeat(np.frombuffer(texts, np.int64), parity_join.from_planes(counts, 4).astype(int)) == nodes[~same]).all()
+    key, a, b = np.frombuffer(links, np.int64).reshape(3, -1)
+    assert set(key) == {int(keys[0])} and len(key) == 20 and set(a) | set(b) <= set(nodes[keys == keys[0]])
+    assert len(own + texts + counts) <= 18 * (~same).sum()
+    for empty in (np.zeros(len(keys), bool), np.ones(len(keys), bool)):
+        own, texts, counts, links = parity_join.packed(*columns[:3], empty)
+        assert len(own) == parity_join.KEY_BYTES * (~empty).sum() and len(links) == 24 * empty.sum()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Shuffle files stayed until the driver collected its garbage, so a stage held those of all its steps."""
+    from pathlib import Path
+
+    from gearwatch.llm.common import written, written_by
+    from gearwatch.session import FREE_SHUFFLES
+
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {p.name for folder in folders for p in Path(folder).rglob("shuffle_*.data")}
+    setting, grouped = spark.conf.get(FREE_SHUFFLES), spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    before = files()
+    tables = [written(grouped, "test"), written_by(grouped, "k", "test")]
+    assert files() <= before
+    assert [t.count() for t in tables] == [10, 10] and spark.conf.get(FREE_SHUFFLES) == setting
+    grouped.collect()
