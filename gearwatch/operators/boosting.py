@@ -1,14 +1,15 @@
 """Second-order boosted trees for a 0/1 label, grown level by level from sums over quantile bins.
 
 Every input is cut into bins once and the binned rows are written. A level of a tree is one pass: each
-task adds up gradients and hessians per (node, input, bin) of its rows, the sums are combined by key
-and reach the driver, where running sums along the bins give the gain of every cut,
+task adds up gradients and hessians per (node, input, bin) of its rows and sends one row of sums for an input;
+these are added up, by input first where they are many, and reach the driver, where running sums along the bins give the gain of every cut,
 
     G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 / (H + l2),
 
 with the rows that lack the value tried on both sides. What a task sends and what the driver gets is
-bounded by nodes x inputs x bins (11 MB for the last level of depth 6 over 41 inputs), however many
-rows there are. Every ``KEEP_TREES`` trees the rows are written with their margin, so a pass adds
+bounded by nodes x inputs x bins (4 MB for the last level of depth 6 over 41 inputs), or by ``TO_DRIVER`` if that is
+more, however many rows there are. Of the two sides of a cut only the one of fewer rows is counted; the other one's sums are what is
+left of their parent's. Every ``KEEP_TREES`` trees the rows are written with their margin, so a pass adds
 up few trees and a lost executor costs one pass.
 
 Gradients are summed as whole numbers of 2^-24, so neither the order of rows nor retried tasks change a
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,8 +39,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no c
 
 #: A gradient or hessian of 1.
 UNIT = 1 << 24
-#: Trees after which rows are written with their margin.
-KEEP_TREES = 10
+#: Trees after which rows are written with their margin: each takes every row down once more at every level until then.
+KEEP_TREES = 4
+#: Bytes of sums that the tasks of a pass send to the driver at most; more are added up by input in a second stage.
+TO_DRIVER = 32 << 20
 #: Most cuts that an input may have, so that a bin and the missing one fit two bytes.
 MOST_CUTS = 60_000
 
@@ -156,7 +160,10 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def _unpacked(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch["bins"].to_pylist()), np.uint16).reshape(batch.num_rows, width)
+    # Rows have one length, so their bytes lie side by side in the column's buffer.
+    _, starts, content = batch["bins"].cast(pa.large_binary()).buffers()
+    first = int(np.frombuffer(starts, np.int64, 1, 8 * batch["bins"].offset)[0]) if batch.num_rows else 0
+    return np.frombuffer(content or b"", np.uint16, batch.num_rows * width, first).reshape(batch.num_rows, width)
 
 
 def _with_margin(binned: DataFrame, model: BoostedTrees, trees: list[Tree]) -> DataFrame:
@@ -171,35 +178,65 @@ def _with_margin(binned: DataFrame, model: BoostedTrees, trees: list[Tree]) -> D
     return _kept(binned.mapInArrow(add, "label double, bins binary, margin double"))
 
 
-def histograms(binned: DataFrame, model: BoostedTrees, recent: list[Tree], tree: Tree, level: int) -> DataFrame:
-    """(node, feature, bin, g, h, n): sums of a level's nodes over all rows."""
+def histograms(binned: DataFrame, model: BoostedTrees, recent: list[Tree], tree: Tree, level: int, nodes: list[int] | None = None) -> DataFrame:
+    """(feature, sums): g, h and n over a task's rows by (sum, node, bin) for ``nodes`` of a level, by default all, as bytes of longs."""
     width, size = len(model.names), max(len(c) for c in model.cuts) + 2
-    first, count = 2 ** level - 1, 2 ** level
+    first = 2 ** level - 1
+    nodes = list(range(first, 2 * first + 1)) if nodes is None else nodes
+    count, slot = len(nodes), np.full(2 * first + 1, -1)
+    slot[nodes] = np.arange(count)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, count * width * size), np.int64)
-        rows = np.zeros(count * width * size, np.int64)
+        sums = np.zeros((3, count * width * size), np.int64)
         for batch in batches:
-            bins, y = _unpacked(batch, width), batch["label"].to_numpy()
-            node = tree.places(bins, level)
-            mine = np.flatnonzero(node >= first)
+            bins = _unpacked(batch, width)
+            own = slot[tree.places(bins, level)]
+            mine = np.flatnonzero(own >= 0)
             if not len(mine):
                 continue
-            chance = 1 / (1 + np.exp(-(batch["margin"].to_numpy()[mine] + model.margin(bins[mine], recent))))
-            parts = np.rint((chance - y[mine]) * UNIT), np.rint(chance * (1 - chance) * UNIT)
+            bins, y = bins[mine], batch["label"].to_numpy()[mine]
+            chance = 1 / (1 + np.exp(-(batch["margin"].to_numpy()[mine] + model.margin(bins, recent))))
+            parts = np.rint((chance - y) * UNIT), np.rint(chance * (1 - chance) * UNIT)
             # Weights are whole numbers and a batch has few rows, so its sums are exact. All inputs are
             # counted at once: the cost of a batch is its values and one run along the cells.
-            cell = (((node[mine] - first) * width)[:, None] + np.arange(width)) * size + bins[mine]
+            cell = ((own[mine] * width)[:, None] + np.arange(width)) * size + bins
             cell = cell.ravel()
-            rows += np.bincount(cell, minlength=len(rows))
             for k in (0, 1):
-                sums[k] += np.bincount(cell, weights=np.repeat(parts[k], width), minlength=len(rows)).astype(np.int64)
-        used = np.flatnonzero(rows)
-        yield pa.record_batch([pa.array(first + used // (width * size), pa.int32()), pa.array(used // size % width, pa.int32()), pa.array(used % size, pa.int32()),
-                               pa.array(sums[0, used]), pa.array(sums[1, used]), pa.array(rows[used])], ["node", "feature", "bin", "g", "h", "n"])
+                sums[k] += np.bincount(cell, weights=np.repeat(parts[k], width), minlength=sums.shape[1]).astype(np.int64)
+            sums[2] += np.bincount(cell, minlength=sums.shape[1])
+        if sums[2].any():
+            by_input = sums.reshape(3, count, width, size)
+            yield pa.record_batch([pa.array(range(width), pa.int32()), pa.array([by_input[:, :, f].tobytes() for f in range(width)], pa.binary()),
+                                   pa.array(by_input[2].sum(axis=(0, 2)))], ["feature", "sums", "n"])
 
-    cells = binned.mapInArrow(add_up, "node int, feature int, bin int, g long, h long, n long")
-    return cells.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")])
+    return binned.mapInArrow(add_up, "feature int, sums binary, n long")
+
+
+def added_up(sums: DataFrame, parts: int) -> DataFrame:
+    """(feature, sums) over all tasks: one row for an input."""
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for feature, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(content.as_buffer(), np.int64)
+                total[feature] = own + total.get(feature, 0)
+        for feature, own in total.items():
+            yield pa.record_batch([pa.array([feature], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["feature", "sums"])
+
+    return sums.select("feature", "sums").repartition(parts, "feature").mapInArrow(combine, "feature int, sums binary")
+
+
+def level_sums(binned: DataFrame, tasks: int, model: BoostedTrees, recent: list[Tree], tree: Tree, level: int, nodes: list[int]) -> dict[int, np.ndarray]:
+    """Sums [g, h, n] by input and bin of every one of ``nodes``, from rows in ``tasks`` partitions."""
+    width, size = len(model.names), max(len(c) for c in model.cuts) + 2
+    found = np.zeros((len(nodes), 3, width, size), np.int64)
+    sums = histograms(binned, model, recent, tree, level, nodes)
+    if tasks * found.nbytes > TO_DRIVER:
+        sums = added_up(sums, min(width, binned.sparkSession.sparkContext.defaultParallelism))
+    for feature, content in sums.select("feature", "sums").collect():
+        found[:, :, feature] += np.frombuffer(content, np.int64).reshape(3, len(nodes), size).swapaxes(0, 1)
+    return dict(zip(nodes, found))
 
 
 @dataclass
@@ -211,6 +248,7 @@ class Cut:
     missing_left: bool
     left: tuple[int, int]
     right: tuple[int, int]
+    fewer_left: bool
 
 
 def best_cut(sums: np.ndarray, settings: Settings) -> Cut | None:
@@ -232,38 +270,52 @@ def best_cut(sums: np.ndarray, settings: Settings) -> Cut | None:
         if at is not None and gain[at] > top:
             top = gain[at]
             sides = [int(left[k][at]) for k in (0, 1)]
-            best = Cut(int(at[0]), int(at[1]) + 1, missing_left, (sides[0], sides[1]), (int(total[0]) - sides[0], int(total[1]) - sides[1]))
+            best = Cut(int(at[0]), int(at[1]) + 1, missing_left, (sides[0], sides[1]), (int(total[0]) - sides[0], int(total[1]) - sides[1]), bool(2 * n[at] <= total[2]))
     return best
 
 
 def grow(binned: DataFrame, model: BoostedTrees, recent: list[Tree], settings: Settings) -> Tree:
     """One more tree; a pass over the rows for each level. The sides of a cut give the sums of the leaves."""
-    tree, width, size = Tree.blank(settings.depth), len(model.names), max(len(c) for c in model.cuts) + 2
+    tree, counted, above = Tree.blank(settings.depth), [0], {}
+    tasks = binned.rdd.getNumPartitions()
 
     def leaf(node: int, g: int, h: int) -> None:
         tree.value[node] = -settings.rate * (g / UNIT) / (h / UNIT + settings.l2) if h or settings.l2 else 0.0
 
     for level in range(settings.depth):
-        cells = histograms(binned, model, recent, tree, level).toArrow()
-        nodes = cells["node"].to_numpy()
-        cut_any = False
-        for node in np.unique(nodes).tolist():
-            mine = cells.filter(pa.array(nodes == node))
-            sums = np.zeros((3, width, size), np.int64)
-            sums[:, mine["feature"].to_numpy(), mine["bin"].to_numpy()] = np.stack([mine[c].to_numpy() for c in ("g", "h", "n")])
-            best = best_cut(sums, settings)
+        sums = level_sums(binned, tasks, model, recent, tree, level, counted)
+        # A cut leaves rows on both sides, whose sums make up their parent's.
+        for node in counted[:] if level else []:
+            sums[node + 1 if node % 2 else node - 1] = above[(node - 1) // 2] - sums[node]
+        counted, above = [], sums
+        for node in sorted(sums):
+            if not sums[node][2].any():
+                continue  # a table without rows
+            best = best_cut(sums[node], settings)
             if best is None:
-                leaf(node, int(sums[0, 0].sum()), int(sums[1, 0].sum()))
+                leaf(node, int(sums[node][0, 0].sum()), int(sums[node][1, 0].sum()))
                 continue
             tree.feature[node], tree.cut[node], tree.missing_left[node] = best.feature, best.cut, best.missing_left
             leaf(2 * node + 1, *best.left)
             leaf(2 * node + 2, *best.right)
-            cut_any = True
-        if not cut_any:
+            counted.append(2 * node + 1 if best.fewer_left else 2 * node + 2)
+        if not counted:
             break
     return tree
 
 
+@contextmanager
+def _fixed_plans(spark: SparkSession) -> Iterator[None]:
+    """Without adaptive execution, which plans every pass stage by stage though its sizes are known; the session's own setting comes back."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fit(rows: DataFrame, names: list[str], label: str = "label", settings: Settings = Settings(), cuts: list[list[float]] | None = None) -> BoostedTrees:
     """Trees over ``names`` of ``rows``; ``cuts`` are the ascending borders of the bins, by default quantiles."""
     if not names:
@@ -274,10 +326,11 @@ def fit(rows: DataFrame, names: list[str], label: str = "label", settings: Setti
         raise ValueError(f"an input has more than {MOST_CUTS} cuts")
     model = BoostedTrees(list(names), borders, math.log(settings.base_score / (1 - settings.base_score)), settings.depth)
     binned, recent = _binned_rows(labelled, model, label), []
-    for _ in range(settings.rounds):
-        tree = grow(binned, model, recent, settings)
-        model.trees.append(tree)
-        recent.append(tree)
-        if len(recent) == KEEP_TREES and len(model.trees) < settings.rounds:
-            binned, recent = _with_margin(binned, model, recent), []
+    with _fixed_plans(rows.sparkSession):
+        for _ in range(settings.rounds):
+            tree = grow(binned, model, recent, settings)
+            model.trees.append(tree)
+            recent.append(tree)
+            if len(recent) >= KEEP_TREES and len(model.trees) < settings.rounds:
+                binned, recent = _with_margin(binned, model, recent), []
     return model

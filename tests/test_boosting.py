@@ -128,3 +128,25 @@ def test_a_batch_is_counted_in_one_go(spark, monkeypatch):
     monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or plain(*a, **k))
     cells = list(taken[0](iter([batch])))
     assert len(calls) == 3 and sum(cells[0]["n"].to_pylist()) == 60 * 12
+
+
+def test_one_side_of_a_cut_is_counted_and_sums_take_either_way(spark, monkeypatch):
+    """Every node of a level was counted, and a task sent a row for each (node, input, bin)."""
+    names, cuts = ["a", "b", "c", "same"], [[-1.0, -0.5, 0.0, 0.5, 1.0], [0.5, 1.5, 2.5, 3.5], [-1.0, 0.0, 1.0], []]
+    df, _ = table(spark, 400, 7)
+    settings, counted, plain, trees = Settings(rounds=2, depth=3), [], boosting.level_sums, []
+    monkeypatch.setattr(boosting, "level_sums", lambda *a: counted.append(a[-1]) or plain(*a))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    for most in (1 << 30, 0):
+        monkeypatch.setattr(boosting, "TO_DRIVER", most)
+        trees.append(boosting.fit(df, names, settings=settings, cuts=cuts).trees)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+    for one, other in zip(*trees):
+        assert (one.feature == other.feature).all() and (one.cut == other.cut).all() and (one.value == other.value).all()
+    below = [nodes for nodes in counted if nodes != [0]]
+    assert below and all(len({(n - 1) // 2 for n in nodes}) == len(nodes) for nodes in below)
+    assert any(len(nodes) > 1 for nodes in below)
+    model = boosting.BoostedTrees(names, [np.array(c) for c in cuts], 0.0, 3)
+    binned = boosting._binned_rows(df, model, "label")
+    rows = boosting.histograms(binned, model, [], boosting.Tree.blank(3), 0).collect()
+    assert len(rows) == 4 * binned.rdd.getNumPartitions() and sum(r.n for r in rows) == 400 * 4
