@@ -158,3 +158,35 @@ def test_a_trained_run_does_not_resolve_rule_runs(spark, folder, tmp_path):
     once = store.predictions().count()
     run_trained_model(store, str(tmp_path / "model"), "check")
     assert len(store.overlapping_runs("predictions")) == 2 and store.predictions().count() == once
+
+
+def test_node_ids_are_kept_only_where_memory_holds_them(spark, folder, monkeypatch):
+    """Ids beyond the memory lay on the disk three times over, 400 bytes a row each."""
+    rows = ml.with_label(build_features(clean_telemetry(telemetry(spark, folder), unique_ids=True)), 2).select("label", *MODEL_INPUTS).cache()
+    assert ml.block_memory(spark) > 1 << 20
+    forest, boosted = ml.forest(6, depth=6), ml.boosted(2)
+    assert ml.ids_in_memory(forest, rows, MODEL_INPUTS) is forest and ml.ids_in_memory(boosted, rows, MODEL_INPUTS) is boosted
+    kept, names, fitted = ml.train(rows, forest), MODEL_INPUTS, []
+    monkeypatch.setattr(ml, "block_memory", lambda _: 1000 * 100)
+    plain = ml.ids_in_memory
+    monkeypatch.setattr(ml, "ids_in_memory", lambda *a: fitted.append(plain(*a)) or fitted[-1])
+    sent = ml.train(rows, forest, names)
+    assert not fitted[0].getCacheNodeIds() and forest.getCacheNodeIds() and fitted[0].getNumTrees() == 6
+    trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (kept, sent)]
+    assert trees[0] == trees[1] and "If" in trees[0]
+    rows.unpersist()
+
+
+def test_training_tables_and_store_tables_leave_no_shuffle_files(spark, make, tmp_path):
+    from pathlib import Path
+
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {p.name for folder in folders for p in Path(folder).rglob("shuffle_*.data")}
+    before = files()
+    assert ml.training_table(spark.range(200_000), str(tmp_path / "t"), 200_000).count() == 200_000
+    store = Store(spark, str(tmp_path / "store")).create()
+    rows = build_features(clean_telemetry(make([reading(k, k % 5, k, k, inserted_at=None) for k in range(1, 50)]), unique_ids=True))
+    before |= files()
+    assert ml.training_table(spark.range(200_000), str(tmp_path / "u"), 200_000) and files() <= before
+    store.write("processed", rows.withColumn("processed_at", F.lit(None).cast("timestamp")).withColumn("inserted_at", F.lit(None).cast("timestamp")), 1)
+    assert files() <= before
